@@ -15,7 +15,7 @@ import re
 from collections.abc import Iterator
 
 #: White space other than space, tab, line feed and return: such texts go to the library whole.
-_RARE_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_RARE_SPACE = re.compile("[%s]" % "".join(map(chr, (0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 #: Chunks by kind of pre-tokeniser. "byte": a word takes one space before it; of a run of spaces the last stands apart.
 _CHUNKS = {
     "byte": re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+?(?=(?: |[\t\n\r])[^ \t\n\r])|[\t\n\r]"),
