@@ -2,45 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexweave.plans.cut import delete, new_path, shared_folder, stash  # noqa: F401
+
 #: ASCII white space, the separators of words: space, tab, line feed, vertical tab, form feed, return.
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, or in local mode (tests) a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", "")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='lexweave-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/lexweave/{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: a lost executor costs no recomputation."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def rows_to_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

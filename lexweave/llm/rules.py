@@ -39,7 +39,7 @@ RULES = (
     Rule("symbols", "10 * {s}.n_symbols > 3 * {s}.n_words"),
     Rule("word_length", "{s}.word_chars < 2 * {s}.n_words OR {s}.word_chars > 25 * {s}.n_words"),
     Rule("repeated_lines", "2 * {s}.n_dup_lines > {s}.n_lines"),
-    Rule("shouting", "10 * regexp_count({t}, '(?<![\\\\p{{L}}])\\\\p{{Lu}}{{2,}}(?![\\\\p{{L}}])') > 6 * {s}.n_words"),
+    Rule("shouting", "10 * regexp_count({t}, '\\\\p{{Lu}}{{2,}}') > 6 * {s}.n_words"),
 )
 
 _SPLIT = r"[\\x20\\x09-\\x0D]+"
