@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stash, texts_of
-from .tokens import encode_all, encoder
+from .tokens import encoder
 
 CAPACITY, END_ID = 4096, 1
 #: A bin with at most this many free tokens is final before the root.
@@ -38,7 +38,7 @@ def _pieces(path: str, kind: str, capacity: int, end_id: int):
         enc = encoder(path, kind)
         for b in batches:
             cols = [[], [], [], [], []]
-            for doc, ids in zip(b.column("doc_id").to_pylist(), encode_all(texts_of(b.column("text")), enc)):
+            for doc, ids in zip(b.column("doc_id").to_pylist(), map(enc.encode, texts_of(b.column("text")))):
                 ids += tail
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

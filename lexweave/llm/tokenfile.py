@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import new_path, texts_of
-from .tokens import encode_all, encoder
+from .tokens import encoder
 
 MAGIC = b"LXTOKEN1"
 _FOOTER = struct.Struct("<QIIQQII8s")
@@ -133,7 +133,7 @@ def _write(folder: str, tokenizer: str, kind: str, end_id: int, width: int, fram
         name, temp, writer, end = f"{root}/part-{part:06d}.tok", f"{root}/.{part:06d}-{uuid.uuid4().hex}", None, np.array([end_id], np.uint32)
         sink = None
         for b in batches:
-            for doc, ids in zip(b.column("doc_id").to_pylist(), encode_all(texts_of(b.column("text")), enc)):
+            for doc, ids in zip(b.column("doc_id").to_pylist(), map(enc.encode, texts_of(b.column("text")))):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     sink = store.open_output_stream(temp)

@@ -1,9 +1,10 @@
 """Token ids of whole texts with a bounded memo of encoded words.
 
-A tokenizer with word-wise pre-tokenisation gives the same ids for a text as for its chunks, if the chunks are cut where
-its pre-tokeniser always cuts. Texts repeat most of their chunks, so each chunk is encoded by the tokenizers library
-once and remembered, up to a bounded number of chunks. Texts with rarer white space than the cuts handle are encoded
-whole by the library.
+A tokenizer with word-wise pre-tokenisation gives the same ids for a text as for its pieces, if the text is cut where its
+pre-tokeniser cuts. Texts repeat most of their pieces, so each piece is encoded by the tokenizers library once and
+remembered; when the memo is full, the pieces not used of late are forgotten. Texts of Latin letters are cut at every
+pre-token, which the library's BPE model takes directly; other texts are cut only at plain white space, and texts with
+rarer white space are not cut, and both pass the library's whole tokenizer.
 
 Special tokens' strings in a text are ordinary text.
 """
@@ -12,19 +13,64 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+import unicodedata
+from array import array
+
+
+def _class(points: list[int]) -> str:
+    """Code points as the inside of a character class."""
+    out, runs = [], []
+    for p in points:
+        if runs and runs[-1][1] == p - 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    for lo, hi in runs:
+        out.append(f"\\u{lo:04x}-\\u{hi:04x}")
+    return "".join(out)
+
 
 #: White space other than space, tab, line feed and return: such texts go to the library whole.
 _RARE_SPACE = re.compile("[%s]" % "".join(map(chr, (0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
-#: Chunks by kind of pre-tokeniser. "byte": a word takes one space before it; of a run of spaces the last stands apart.
+#: Letters and digits below U+0250, where text is in normal form C as it stands.
+_BEYOND = re.compile("[^\\u0000-\\u024f]")
+_L, _N = (_class([p for p in range(0x250) if unicodedata.category(chr(p))[0] == kind]) for kind in "LN")
+_CLITIC = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed by the tokenizers' own patterns
+#: Pre-tokens of Latin texts, and coarser chunks of the others, by kind of pre-tokeniser. "byte": a word takes one space
+#: before it, and of a run of spaces the last stands apart; "word": lower case, white space dropped.
+_PIECES = {
+    "byte": re.compile(f"{_CLITIC}| ?[{_L}]+| ?[{_N}]+| ?[^ \\t\\n\\r{_L}{_N}]+|[ \\t\\n\\r]+(?![^ \\t\\n\\r])|[ \\t\\n\\r]+"),
+    "word": re.compile(f"{_CLITIC}|[{_L}]+|[{_N}]|[^ \\t\\n\\r{_L}{_N}]+"),
+}
 _CHUNKS = {
     "byte": re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+?(?=(?: |[\t\n\r])[^ \t\n\r])|[\t\n\r]"),
     "word": re.compile(r"[^ \t\n\r]+"),
 }
-#: Chunks remembered at most.
+#: Pieces remembered in each of two generations.
 MEMO = 400_000
 
-_encoders: dict[tuple[str, str], "ChunkEncoder"] = {}
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level models write for each byte: visible Latin-1 bytes stand for themselves, the others for
+    the letters from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b if b in plain else 256 + others.index(b)) for b in range(256)}
+
+
+class _Memo(dict):
+    """Ids by piece; what is missing comes from the older generation or from the encoder."""
+
+    def __init__(self, encode, older: dict):
+        super().__init__()
+        self.encode, self.older = encode, older
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
+        return ids
 
 
 class ChunkEncoder:
@@ -36,31 +82,32 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.chunks, self.memo, self.known = _CHUNKS[kind].findall, memo, {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, in order. Give at most a few MB of text at once."""
-        known = self.known
-        cut = [None if _RARE_SPACE.search(t) else self.chunks(t) for t in texts]
-        new = set()
-        for c in cut:
-            if c:
-                new.update(c)
-        new = [c for c in new if c not in known]
-        if len(known) + len(new) > self.memo:
-            if known:
-                known.clear()
-                new = list({c for cs in cut if cs for c in cs})
-        known.update(zip(new, self._library(new)))
-        for t, c in zip(texts, cut):
-            yield self._library([t])[0] if c is None else b"".join([known[x] for x in c])
-        if len(known) > self.memo:
-            known.clear()
+        self.pieces, self.chunks, self.lower = _PIECES[kind].findall, _CHUNKS[kind].findall, kind == "word"
+        self.letters, self.bpe, self.memo = _byte_letters(), self.tokenizer.model.tokenize, memo
+        self.known, self.known_chunks = _Memo(self._piece, {}), _Memo(self._whole, {})
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii() or not piece.isprintable() or " " in piece:
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.bpe(piece)]).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if _RARE_SPACE.search(text):
+            return self._whole(text)
+        if not text.isascii() and _BEYOND.search(text):
+            if len(self.known_chunks) > self.memo // 4:
+                self.known_chunks = _Memo(self._whole, {})
+            return b"".join(map(self.known_chunks.__getitem__, self.chunks(text)))
+        if len(self.known) > self.memo:
+            self.known.older = {}
+            self.known = _Memo(self._piece, self.known)
+        return b"".join(map(self.known.__getitem__, self.pieces(text.lower() if self.lower else text)))
+
+
+_encoders: dict[tuple[str, str], ChunkEncoder] = {}
 
 
 def encoder(path: str, kind: str) -> ChunkEncoder:
@@ -68,16 +115,3 @@ def encoder(path: str, kind: str) -> ChunkEncoder:
     if (path, kind) not in _encoders:
         _encoders[path, kind] = ChunkEncoder(path, kind)
     return _encoders[path, kind]
-
-
-def encode_all(texts: Iterator[str], enc: ChunkEncoder, chars: int = 1_000_000) -> Iterator[bytes]:
-    """Ids of each text, gathering about so many characters for each call of the library."""
-    held, n = [], 0
-    for t in texts:
-        held.append(t)
-        n += len(t)
-        if n >= chars:
-            yield from enc.encode(held)
-            held, n = [], 0
-    if held:
-        yield from enc.encode(held)
