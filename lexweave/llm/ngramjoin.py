@@ -10,7 +10,8 @@ nodes form cores (the components of crowded buckets), a core is dealt into tiles
 one task that compares, prunes, verifies and returns per node its number of links, with a spanning forest of the links.
 So every link between different texts counts, and nothing grows with the square of a group but arithmetic.
 
-Word hashes and shingles are 64-bit, set identities 128-bit. Candidates miss a pair at the threshold with a probability of
+Pruning compares one byte of each MinHash value, so two unequal values agree by chance in 1 of 256 cases; the posterior
+allows for it. Word hashes and shingles are 64-bit, set identities 128-bit. Candidates miss a pair at the threshold with a probability of
 (1 - t^rows)^bands, 5e-8 for t = 0.8; the tolerance of pruning is 1e-9.
 
 Defined results: null and empty texts have no shingles and are similar to one another only; ties and repeated rows are
@@ -36,6 +37,8 @@ WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-9
 BANDS, ROWS = 32, 4
 HASHES, STEP = BANDS * ROWS, 16
 SMALL, TILE = 64, 1024
+#: Ids of texts to be verified that may be broadcast (8 bytes each).
+BROADCAST_IDS = 2_000_000
 _MEMO = 300_000
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,8 +84,10 @@ def set_key(s: np.ndarray) -> bytes:
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE, hashes: int = HASHES, step: int = STEP) -> dict[int, int]:
     """For each number n of compared values: the fewest matches with which a pair stays.
 
-    Under a uniform prior the posterior of the similarity is Beta(m + 1, n - m + 1), and P(S >= t) = P(Binomial(n + 1, t) <= m).
+    Under a uniform prior the posterior of the chance of a match is Beta(m + 1, n - m + 1), and P(S >= t) = P(Binomial(n + 1, t) <= m).
+    A pair at the threshold matches in one byte with the chance threshold + (1 - threshold) / 256.
     """
+    threshold += (1 - threshold) / 256
     out = {}
     for n in range(step, hashes + 1, step):
         total, m = 0.0, -1
@@ -103,42 +108,46 @@ def prune(sig: np.ndarray, i: np.ndarray, j: np.ndarray, least: dict[int, int])
     return alive
 
 
+def band_hashes(sig: np.ndarray) -> np.ndarray:
+    """A 64-bit bucket for each band of a signature."""
+    rows = sig.reshape(BANDS, ROWS).astype(np.uint64)
+    h = np.arange(BANDS, dtype=np.uint64)
+    for r in range(ROWS):
+        h = (h ^ rows[:, r]) * _MIX
+        h ^= h >> np.uint64(31)
+    return h
+
+
 def _sign(batches):
     for b in batches:
-        keys, sizes, sigs = [], [], []
+        keys, bands, sigs = [], [], []
         for t in texts_of(b.column("text")):
             s = shingles(t)
+            sig = signature(s) if len(s) else None
             keys.append(set_key(s))
-            sizes.append(len(s))
-            sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary())], names=["doc_id", "key", "n", "sig"])
+            bands.append(None if sig is None else band_hashes(sig).tobytes())
+            sigs.append(None if sig is None else sig.astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(bands, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "key", "bands", "sig"])
 
 
-def _bands(batches):
+def _buckets(batches):
     for b in batches:
         for lo in range(0, b.num_rows, 2000):
             part = b.slice(lo, 2000)
-            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), sig.shape[:2]).copy()
-            for r in range(ROWS):
-                h = (h ^ sig[:, :, r]) * _MIX
-                h ^= h >> np.uint64(31)
-            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), part.column("key").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], names=["bucket", "key"])
+            h = np.frombuffer(b"".join(part.column("bands").to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), part.column("nid").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], names=["bucket", "nid"])
 
 
 def _pairs(least):
     def run(table: pa.Table) -> pa.Table:
-        keys, cores = table.column("key").to_pylist(), table.column("core").to_pylist()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-        i, j = np.triu_indices(len(keys), 1)
-        band = table.column("band")[0].as_py()
-        same = (sig[i].reshape(-1, BANDS, ROWS) == sig[j].reshape(-1, BANDS, ROWS)).all(2)
-        take = same.argmax(1) == band  # a pair belongs to its first common band
-        take &= np.array([cores[a] is None or cores[a] != cores[b] for a, b in zip(i, j)], bool)
-        i, j = i[take], j[take]
+        ids, core = table.column("nid").to_numpy(), table.column("core").fill_null(-1).to_numpy()
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+        i, j = np.triu_indices(len(ids), 1)
+        apart = (core[i] < 0) | (core[i] != core[j])  # pairs of one core are its tiles' work
+        i, j = i[apart], j[apart]
         alive = prune(sig, i, j, least)
-        ends = [sorted((keys[a], keys[b])) for a, b in zip(i[alive], j[alive])]
-        return pa.table({"a": pa.array([x[0] for x in ends], pa.binary()), "b": pa.array([x[1] for x in ends], pa.binary())})
+        x, y = ids[i[alive]], ids[j[alive]]
+        return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
 
     return run
 
@@ -190,13 +199,13 @@ def _tiles(threshold: float, least):
     first, rest = STEP, {n: m for n, m in least.items() if n > STEP}
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("tile", "ascending"), ("key", "ascending")])
+        table = table.sort_by([("tile", "ascending"), ("nid", "ascending")])
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
-        keys, copies = table.column("key").to_pylist(), table.column("copies").to_numpy()
+        ids, copies = table.column("nid").to_numpy(), table.column("copies").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
         split = int((table.column("tile").to_numpy() == lo).sum())
-        n, sizes = len(keys), np.array([len(s) for s in sets])
+        n, sizes = len(ids), np.array([len(s) for s in sets])
         right = np.arange(n) if lo == hi else np.arange(split, n)
         links, ends = np.zeros(n, np.int64), []
         parent = list(range(n))
@@ -234,7 +243,7 @@ def _tiles(threshold: float, least):
                     if a != b:
                         parent[max(a, b)] = min(a, b)
         linked = np.nonzero(links)[0]
-        return pa.table({"key": pa.array([keys[x] for x in linked], pa.binary()), "links": pa.array(links[linked]), "to": pa.array([keys[root(x)] for x in linked], pa.binary())})
+        return pa.table({"nid": pa.array(ids[linked], pa.int64()), "links": pa.array(links[linked], pa.int64()), "to": pa.array([int(ids[root(x)]) for x in linked], pa.int64())})
 
     return run
 
@@ -246,61 +255,47 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     similarity is at least the threshold.
     """
     least = least_matches(threshold, tolerance)
-    signed = stash(docs.select("doc_id", "text").mapInArrow(_sign, "doc_id long, key binary, n int, sig binary"), "signed")
-    nodes = stash(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "nodes")
-    buckets = nodes.filter("sig IS NOT NULL").select("key", "sig").mapInArrow(_bands, "bucket long, key binary")
+    signed = stash(docs.select("doc_id", "text").mapInArrow(_sign, "doc_id long, key binary, bands binary, sig binary"), "signed")
+    # nid is fixed when the table is written
+    nodes = stash(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig")).withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    buckets = nodes.filter("bands IS NOT NULL").select("nid", "bands").mapInArrow(_buckets, "bucket long, nid long")
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = stash(buckets.join(crowded, "bucket"), "members")
 
     hot = members.filter(F.col("size") > small)
-    least_key = hot.groupBy("bucket").agg(F.min("key").alias("least"))
-    stars = hot.join(least_key, "bucket").select("key", "least").filter("key <> least").distinct()
-    cores = stash(connected_components(stars, "key", "least").select(F.col("node").alias("key"), F.col("component").alias("core")), "cores")
-
-    lean = members.filter(F.col("size") <= small).join(nodes.select("key", "sig"), "key").join(cores, "key", "left")
-    band_of = _band_expr()
-    pairs = stash(lean.mapInArrow(band_of, "bucket long, band int, key binary, sig binary, core binary").groupBy("bucket", "band").applyInArrow(_pairs(least), "a binary, b binary"), "pairs")
-
-    wanted = stash(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(cores.select("key")).distinct().join(nodes, "key"), "wanted")
-    ids = wanted.select(F.col("first_id").alias("wanted_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    stars = hot.join(hot.groupBy("bucket").agg(F.min("nid").alias("least")), "bucket").select("nid", "least").filter("nid <> least").distinct()
+    cores = stash(connected_components(stars, "nid", "least").select(F.col("node").alias("nid"), F.col("component").alias("core")), "cores")
+
+    lean = members.filter(F.col("size") <= small).join(nodes.select("nid", "sig"), "nid").join(cores, "nid", "left")
+    pairs = stash(lean.select("bucket", "nid", "sig", "core").groupBy("bucket").applyInArrow(_pairs(least), "a long, b long").distinct(), "pairs")
+
+    ends = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).unionByName(cores.select("nid")).distinct()
+    wanted = stash(ends.join(nodes.select("nid", "key", "first_id", "copies", "sig"), "nid"), "wanted")
+    ids = stash(wanted.select(F.col("first_id").alias("wanted_id")).distinct(), "wanted-ids")
+    # a checked size: up to BROADCAST_IDS ids go to all executors, more are met by a shuffle
+    few = ids.count() <= BROADCAST_IDS
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     sets = stash(texts.mapInArrow(_sets, "key binary, set binary").groupBy("key").agg(F.first("set").alias("set")).join(wanted, "key"), "sets")
 
-    side = lambda s: sets.select(F.col("key").alias(s), F.col("set").alias(f"{s}_set"), F.col("copies").alias(f"{s}_copies"))
-    links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(threshold), "a binary, b binary, a_copies long, b_copies long"), "links")
-
-    sized = sets.join(cores, "key").join(cores.groupBy("core").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("tiles")), "core")
-    placed = sized.withColumn("tile", F.expr("cast(pmod(xxhash64(key), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    dealt = placed.select("core", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "key", "copies", "set", "sig")
-    tiles = stash(dealt.groupBy("core", "lo", "hi").applyInArrow(_tiles(threshold, least), "key binary, links long, to binary"), "tiles")
-
-    counts = links.select(F.col("a").alias("key"), F.col("b_copies").alias("links")).unionByName(links.select(F.col("b").alias("key"), F.col("a_copies").alias("links"))).unionByName(tiles.select("key", "links")).groupBy("key").agg(F.sum("links").alias("links"))
-    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(tiles.select(F.col("key").alias("src"), F.col("to").alias("dst")))
-    grouped = connected_components(edges).select(F.col("node").alias("key"), "component")
-    small_nodes = nodes.select("key", "first_id", "copies")
-    first = small_nodes.join(grouped, "key").groupBy("component").agg(F.min("first_id").alias("class_first"))
-    named = grouped.join(first, "component").select("key", "class_first", F.lit(True).alias("in_class"))
-    classes = small_nodes.join(named, "key", "left").join(counts, "key", "left").select(
+    side = lambda s: sets.select(F.col("nid").alias(s), F.col("set").alias(f"{s}_set"), F.col("copies").alias(f"{s}_copies"))
+    links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(threshold), "a long, b long, a_copies long, b_copies long"), "links")
+
+    sized = sets.join(cores, "nid").join(cores.groupBy("core").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("tiles")), "core")
+    placed = sized.withColumn("tile", F.expr("cast(pmod(xxhash64(nid), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    dealt = placed.select("core", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "nid", "copies", "set", "sig")
+    tiles = stash(dealt.groupBy("core", "lo", "hi").applyInArrow(_tiles(threshold, least), "nid long, links long, to long"), "tiles")
+
+    counts = links.select(F.col("a").alias("nid"), F.col("b_copies").alias("links")).unionByName(links.select(F.col("b").alias("nid"), F.col("a_copies").alias("links"))).unionByName(tiles.select("nid", "links")).groupBy("nid").agg(F.sum("links").alias("links"))
+    edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(tiles.select(F.col("nid").alias("src"), F.col("to").alias("dst")))
+    grouped = connected_components(edges).select(F.col("node").alias("nid"), "component")
+    lone = nodes.select("nid", "key", "first_id", "copies")
+    first = lone.join(grouped, "nid").groupBy("component").agg(F.min("first_id").alias("class_first"))
+    named = grouped.join(first, "component").select("nid", "class_first", F.lit(True).alias("in_class"))
+    classes = lone.join(named, "nid", "left").join(counts, "nid", "left").select(
         "key", F.when(F.col("in_class"), F.col("class_first")).otherwise(F.col("first_id")).alias("class_id"), "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return signed.select("doc_id", "key"), classes
 
 
-def _band_expr():
-    """Rows with the band of their bucket, found by hashing their signature's bands anew."""
-
-    def run(batches):
-        for b in batches:
-            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), sig.shape[:2]).copy()
-            for r in range(ROWS):
-                h = (h ^ sig[:, :, r]) * _MIX
-                h ^= h >> np.uint64(31)
-            band = (h.view(np.int64) == b.column("bucket").to_numpy()[:, None]).argmax(1)
-            yield pa.RecordBatch.from_arrays([b.column("bucket"), pa.array(band, pa.int32()), b.column("key"), b.column("sig"), b.column("core")], names=["bucket", "band", "key", "sig", "core"])
-
-    return run
-
-
 def ngram_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id, n_links of every row of docs."""
     signed, classes = near_duplicates(docs, threshold)
