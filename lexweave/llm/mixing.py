@@ -1,15 +1,16 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Every document belongs to a cell of (source, language, topic). The cells' token weights are raked until their sums over
-each source, language and topic meet the target marginals; a cell's calibrated weight over its tokens is the relative rate
-of its documents. Rates are scaled so that the highest is 1 (or to a token budget), and each document is taken with that
-probability by a hash of its id, so every attempt and every engine takes the same ones.
+each source, language and topic meet the target marginals of a token budget; a cell's calibrated weight over its tokens is
+the rate of its documents. Without repetition a cell gives at most its own tokens: each sweep trims the weights to them, and
+the next sweep deals what was trimmed to the others, so one rare cell never holds down the whole mix. Each document is taken
+with its cell's probability by a hash of its id, so every attempt takes the same ones.
 
 Targets default to tempered shares: a category's share of all tokens to the power `temper`, scaled to sum to 1. Given
 targets are scaled to the categories that have tokens; a category without a target gets none.
 
-Defined results: a null source, language or text counts as the category or text ''; empty texts have no tokens, so they
-take their cell's rate and weigh nothing; rows with one id, repeated ones included, share their fate; an empty table gives
+Defined results: a null source, language or text counts as the category or text ''; documents in cells without tokens are
+taken at the rate of the whole mix; rows with one id, repeated ones included, share their fate; an empty table gives
 no rows; other columns pass through, and the names used here are dropped again.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import WORD_SPLIT, stash
 
 DIMS = ("source", "lang", "topic")
-TEMPER, SWEEPS, CLOSE, SEED = 0.8, 25, 1e-6, 42
+TEMPER, KEEP, SWEEPS, CLOSE, SEED = 0.8, 0.8, 12, 1e-3, 42
 
 #: Topic of a text by its form, over {n} words: SQL a caller can replace.
 TOPIC = """CASE WHEN {n} = 0 THEN 'empty'
@@ -55,32 +56,35 @@ def targets_of(cells: DataFrame, dim: str, given: dict[str, float] | None, tempe
     return share.select(dim, (F.col("t") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, close: float = CLOSE) -> DataFrame:
-    """cells (dims, tokens) with weight: the calibrated share of each cell. Every sweep is a written table."""
+def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, repeat: bool = False, sweeps: int = SWEEPS, close: float = CLOSE) -> DataFrame:
+    """cells (dims, tokens) with weight: the calibrated tokens of each cell. Every sweep is a written table."""
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMS:
         now = now.join(targets[d].withColumnRenamed("target", f"{d}_target"), d)
     now = stash(now, "cells")
     for _ in range(sweeps):
+        now = now.withColumn("before", F.col("weight"))
         for d in DIMS:
             sums = now.groupBy(d).agg(F.sum("weight").alias("total"))
-            now = now.join(sums, d).withColumn("weight", F.when(F.col("total") > 0, F.col("weight") * F.col(f"{d}_target") / F.col("total")).otherwise(0.0)).drop("total")
+            now = now.join(sums, d).withColumn("weight", F.when(F.col("total") > 0, F.col("weight") * F.col(f"{d}_target") * F.lit(float(budget)) / F.col("total")).otherwise(0.0)).drop("total")
+        if not repeat:
+            now = now.withColumn("weight", F.least("weight", F.col("tokens").cast("double")))
         now = stash(now, "cells")
-        gaps = [now.groupBy(d).agg(F.abs(F.sum("weight") / F.first(f"{d}_target") - 1).alias("gap")).agg(F.max("gap").alias("gap")) for d in DIMS[:-1]]
-        if max((g.first()["gap"] or 0.0) for g in gaps) < close:
+        moved = now.agg(F.sum(F.abs(F.col("weight") - F.col("before"))).alias("moved")).first()["moved"]
+        now = now.drop("before")
+        if (moved or 0.0) <= close * budget:
             break
     return now.select(*DIMS, "tokens", "weight")
 
 
-def rates(docs_celled: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, budget: float | None = None) -> DataFrame:
-    """(dims, rate): expected copies of each document of a cell; at most 1 unless a token budget asks for more."""
+def rates(docs_celled: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, keep: float = KEEP, repeat: bool = False) -> DataFrame:
+    """(dims, rate): expected copies of each document of a cell, at most 1 unless `repeat`; `keep` is the budget as a share of all tokens."""
     cells = stash(docs_celled.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")), "token-cells")
-    weighed = rake(cells, {d: stash(targets_of(cells, d, (targets or {}).get(d), temper), f"target-{d}") for d in DIMS})
-    share = weighed.withColumn("relative", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")))
-    top = share.agg(F.max("relative").alias("m"), F.sum("weight").alias("w")).first()
-    scale = (1.0 / top["m"] if top["m"] else 0.0) if budget is None else (budget / top["w"] if top["w"] else 0.0)
-    rate = share.select(*DIMS, (F.col("relative") * F.lit(scale)).alias("rate"))
-    return cells.select(*DIMS).join(rate, list(DIMS), "left").select(*DIMS, F.coalesce("rate", F.when(F.col("topic") == "empty", F.lit(1.0)).otherwise(0.0)).alias("rate"))
+    budget = keep * (cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0)
+    weighed = rake(cells, {d: stash(targets_of(cells, d, (targets or {}).get(d), temper), f"target-{d}") for d in DIMS}, budget, repeat)
+    rate = weighed.filter("tokens > 0").select(*DIMS, (F.col("weight") / F.col("tokens")).alias("rate"))
+    # cells without tokens weigh nothing: their documents are taken like the mix as a whole
+    return cells.join(rate, list(DIMS), "left").select(*DIMS, F.coalesce("rate", F.when(F.col("tokens") == 0, F.lit(float(keep))).otherwise(0.0)).alias("rate"))
 
 
 def draw(seed: int = SEED) -> F.Column:
@@ -88,17 +92,17 @@ def draw(seed: int = SEED) -> F.Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(2**52)) / F.lit(float(2**52))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, budget: float | None = None, seed: int = SEED, topic: str = TOPIC) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, keep: float = KEEP, repeat: bool = False, seed: int = SEED, topic: str = TOPIC) -> DataFrame:
     """doc_id, the cell, n_tokens, probability (expected copies) and copies of every document."""
     rows = celled(docs, topic)
-    rate = stash(rates(rows, targets, temper, budget), "rates")
+    rate = stash(rates(rows, targets, temper, keep, repeat), "rates")
     p = F.col("rate")
     return rows.join(rate, list(DIMS)).select("doc_id", *DIMS, "n_tokens", p.alias("probability"), (F.floor(p) + (draw(seed) < p - F.floor(p)).cast("int")).cast("int").alias("copies"))
 
 
-def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, seed: int = SEED, topic: str = TOPIC) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, keep: float = KEEP, seed: int = SEED, topic: str = TOPIC) -> DataFrame:
     """The documents taken, all columns as they were; the rates cover all of docs."""
-    rate = stash(rates(celled(docs, topic), targets, temper), "rates")
+    rate = stash(rates(celled(docs, topic), targets, temper, keep), "rates")
     c = cell_columns(topic)
     keyed = docs.select(*(f"`{x}`" for x in docs.columns), c["source"].alias("__source"), c["lang"].alias("__lang"), c["made"]["topic"].alias("__topic"))
     named = rate.select(*(F.col(d).alias(f"__{d}") for d in DIMS), F.col("rate").alias("__rate"))

@@ -39,7 +39,7 @@ HASHES, STEP = BANDS * ROWS, 16
 SMALL, TILE = 64, 1024
 #: Ids of texts to be verified that may be broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
-_MEMO = 300_000
+_MEMO = 150_000
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import texts_of
 
 PER_CLASS = 3000
-COLUMNS, STATS, RANK, MEMO = 2**15, 14, 8, 300_000
+COLUMNS, STATS, RANK, MEMO = 2**15, 14, 8, 150_000
 EPOCHS, RATE, L2 = 6, 0.05, 1e-5
 _TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
 

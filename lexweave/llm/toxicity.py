@@ -33,9 +33,10 @@ from .common import texts_of
 
 PER_CLASS = 4000
 PREFIXES = (3, 4, 5, 6)
-DISCOUNT, WINDOW, MEMO = 2.0, 4, 300_000
-#: No single expression moves a passage by more than this.
-CLAMP = 8.0
+DISCOUNT, WINDOW, MEMO = 2.0, 4, 150_000
+#: No single expression raises a passage by more than CLAMP or lowers it by more than FLOOR: ordinary words beside a toxic
+#: expression do not excuse it.
+CLAMP, FLOOR = 8.0, 0.5
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W_]+")
 WORD_SQL = r"[\p{L}\p{N}]+"
@@ -57,7 +58,7 @@ class KneserNey:
         total = self.words.get(word, 0.0)
         for p in prefixes(word):
             total += s.get(p, 0.0)
-        return max(-CLAMP, min(CLAMP, total))
+        return max(-FLOOR, min(CLAMP, total))
 
 
 def fit_counts(rows: list[tuple[str, int, int]], discount: float = DISCOUNT) -> KneserNey:
