@@ -26,6 +26,9 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 def ship_package(spark: SparkSession) -> None:
     """Give every Python worker this package, once per application; Spark's own file server carries it."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        # texts can be long: a batch of the default size would hold ten times the memory
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
