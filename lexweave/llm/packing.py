@@ -26,6 +26,8 @@ CAPACITY, END_ID = 4096, 1
 #: A bin with at most this many free tokens is final before the root.
 SLACK = 8
 FAN_IN, TASK_ITEMS = 8, 100_000
+#: Pieces of text that the encoder remembers in each of two generations.
+MEMO = 200_000
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>"
 BINS = f"fill int, done boolean, members array<{MEMBER}>"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -35,7 +37,7 @@ def _pieces(path: str, kind: str, capacity: int, end_id: int):
     tail = end_id.to_bytes(4, "little")
 
     def run(batches):
-        enc = encoder(path, kind)
+        enc = encoder(path, kind, MEMO)
         for b in batches:
             cols = [[], [], [], [], []]
             for doc, ids in zip(b.column("doc_id").to_pylist(), map(enc.encode, texts_of(b.column("text")))):
@@ -105,9 +107,14 @@ def _round(capacity: int, slack: int, last: bool):
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, fan_in: int = FAN_IN, task_items: int = TASK_ITEMS) -> DataFrame:
     """The pieces with sequence_id and offset: a tree of best-fit rounds, each written in the shared folder."""
-    level = stash(pieces.mapInArrow(_round(capacity, slack, False), BINS), "bins-0")
+    return _merge(pieces.mapInArrow(_round(capacity, slack, False), BINS), capacity, slack, fan_in, task_items)
+
+
+def _merge(leaves: DataFrame, capacity: int, slack: int, fan_in: int, task_items: int) -> DataFrame:
+    """The rounds after the first, whose bins `leaves` has."""
+    parts = max(1, leaves.rdd.getNumPartitions())
+    level = stash(leaves, "bins-0")
     finished, wide_rounds = [level.filter("done")], 0
-    parts = max(1, pieces.rdd.getNumPartitions())
     while True:
         left = level.filter("NOT done")
         n = left.count()
@@ -141,4 +148,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, fan_in
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    return pack(token_pieces(docs, tokenizer, kind, capacity, end_id), capacity)
+    """Encode, cut and pack the documents; encoding and the first round share one Python worker a task."""
+    cut, fit = _pieces(tokenizer, kind, capacity, end_id), _round(capacity, SLACK, False)
+    leaves = docs.select("doc_id", "text").mapInArrow(lambda batches: fit(cut(batches)), BINS)
+    return _merge(leaves, capacity, SLACK, FAN_IN, TASK_ITEMS)

@@ -110,8 +110,8 @@ class ChunkEncoder:
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> ChunkEncoder:
+def encoder(path: str, kind: str, memo: int = MEMO) -> ChunkEncoder:
     """One encoder for each tokenizer file and Python worker, so that its memo outlives a task."""
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = ChunkEncoder(path, kind)
+        _encoders[path, kind] = ChunkEncoder(path, kind, memo)
     return _encoders[path, kind]
