@@ -37,6 +37,8 @@ WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-9
 BANDS, ROWS = 32, 4
 HASHES, STEP = BANDS * ROWS, 16
 SMALL, TILE = 64, 1024
+#: Bytes of shingle sets in a tile (8 a shingle), on average: cores of long texts get more tiles of fewer texts.
+TILE_BYTES = 8_000_000
 #: Ids of texts to be verified that may be broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
 _MEMO = 150_000
@@ -275,12 +277,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     # a checked size: up to BROADCAST_IDS ids go to all executors, more are met by a shuffle
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    sets = stash(texts.mapInArrow(_sets, "key binary, set binary").groupBy("key").agg(F.first("set").alias("set")).join(wanted, "key"), "sets")
+    sets = stash(texts.mapInArrow(_sets, "key binary, set binary").groupBy("key").agg(F.first("set").alias("set")).join(wanted, "key").withColumn("bytes", F.length("set")), "sets")
 
     side = lambda s: sets.select(F.col("nid").alias(s), F.col("set").alias(f"{s}_set"), F.col("copies").alias(f"{s}_copies"))
     links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(threshold), "a long, b long, a_copies long, b_copies long"), "links")
 
-    sized = sets.join(cores, "nid").join(cores.groupBy("core").agg(F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("tiles")), "core")
+    cored = sets.join(cores, "nid")
+    sized = cored.join(cored.groupBy("core").agg(F.ceil(F.greatest(F.count("*") / F.lit(tile), F.sum("bytes") / F.lit(TILE_BYTES))).cast("int").alias("tiles")), "core")
     placed = sized.withColumn("tile", F.expr("cast(pmod(xxhash64(nid), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
     dealt = placed.select("core", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "nid", "copies", "set", "sig")
     tiles = stash(dealt.groupBy("core", "lo", "hi").applyInArrow(_tiles(threshold, least), "nid long, links long, to long"), "tiles")
