@@ -261,11 +261,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     # nid is fixed when the table is written
     nodes = stash(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig")).withColumn("nid", F.monotonically_increasing_id()), "nodes")
     buckets = nodes.filter("bands IS NOT NULL").select("nid", "bands").mapInArrow(_buckets, "bucket long, nid long")
-    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    crowded = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("nid").alias("least")).filter("size > 1")
     members = stash(buckets.join(crowded, "bucket"), "members")
 
     hot = members.filter(F.col("size") > small)
-    stars = hot.join(hot.groupBy("bucket").agg(F.min("nid").alias("least")), "bucket").select("nid", "least").filter("nid <> least").distinct()
+    stars = hot.select("nid", "least").filter("nid <> least").distinct()
     cores = stash(connected_components(stars, "nid", "least").select(F.col("node").alias("nid"), F.col("component").alias("core")), "cores")
 
     lean = members.filter(F.col("size") <= small).join(nodes.select("nid", "sig"), "nid").join(cores, "nid", "left")
