@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.functions import numerals, text, vectors
+from lexweave.functions import numerals, statute, text, vectors
 from lexweave.operators import graph, ranking, similarity
 from lexweave.operators.components import connected_components
 from lexweave.session import ship_package
@@ -406,6 +406,36 @@ def f13_text_hash(t):
     return t("documents").select("doc_id", F.sha2("text", 256).alias("sha"))
 
 
+@query("SELECT doc_id, substr(text, 1, 3) || '[T]' || substr(text, 4, 4) || '[/T]' || substr(text, 8) AS marked, trim(substr(text, 4, 4), ' ' || chr(9) || chr(10) || chr(13)) AS target FROM documents WHERE length(text) >= 7 AND text NOT LIKE '%[T]%'")
+def f22_marked_targets(t):
+    docs = t("documents").filter("char_length(text) >= 7 AND NOT contains(text, '[T]')").select("doc_id", statute.marked("text", "3", "7").alias("marked"))
+    return docs.withColumn("target", statute.marked_target(F.col("marked")))
+
+
+@query("SELECT p_partkey, '第' || (p_partkey + 1) || '条' AS label FROM part")
+def f19_tail_label(t):
+    n = F.col("p_partkey")
+    return t("part").select("p_partkey", statute.tail_label(F.concat(F.lit("第"), n, F.lit("条和第"), n + 1, F.lit("条第二款")), "条").alias("label"))
+
+
+@query("SELECT p_partkey, '丙' || p_partkey AS alias, '《乙' || p_partkey || '》' AS title FROM part")
+def f18_aliases(t):
+    n = F.col("p_partkey")
+    body = F.concat(F.lit("《甲》（以下简称丙"), n, F.lit("）。《乙"), n, F.lit("》（以下简称丙"), n, F.lit("）"))
+    return t("part").select("p_partkey", F.explode(statute.aliases(body)).alias("x")).select("p_partkey", "x.alias", "x.title")
+
+
+@query("SELECT p_partkey, p_name || chr(10) || p_size AS body FROM part")
+def f56_embedding_text(t):
+    return t("part").select("p_partkey", statute.embedding_text(F.col("p_name"), F.col("p_size").cast("string")).alias("body"))
+
+
+@query()
+def f20_sentences(t):
+    """Every sentence of every whole text; nested quotes are beyond SQL, so tests hold it against cases by hand."""
+    return t("documents").select("doc_id", F.posexplode(statute.sentences("text")).alias("place", "sentence"))
+
+
 # --- sources and sinks ----------------------------------------------------------------------------------------------
 
 @query("SELECT c_custkey, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) / 100) AS INTEGER) AS shard FROM customer")
