@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexweave.plans.cut import stash
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) of every node of an edge; component is the smallest node in it.
 
     Null ends and self loops make no link; a node with only a self loop is its own component. Repeated edges count once.
@@ -20,7 +20,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     both = stash(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one"), "cc-edges")
     labels = stash(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), "cc-labels")
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(near, labels.node == near.a, "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
         lower = stash(lower, "cc-lower")

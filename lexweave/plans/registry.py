@@ -105,25 +105,23 @@ def j33_neighbours(t):
 @query(f"""WITH {E_SQL}, b AS MATERIALIZED (SELECT source AS a, target AS b FROM edges UNION SELECT target, source FROM edges),
  h AS (SELECT 'r:' || r_regionkey AS start, 'r:' || r_regionkey AS node, 0 AS hop FROM region),
  h1 AS (SELECT start, b AS node, 1 AS hop FROM h JOIN b ON node = a), h2 AS (SELECT start, b.b AS node, 2 AS hop FROM h1 JOIN b ON node = a)
- SELECT start, node, min(hop) AS hop FROM (SELECT * FROM h UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2) GROUP BY ALL""".replace("min(hop) AS hop FROM (SELECT * FROM h UNION", "min(hop) AS hop FROM (SELECT * FROM h UNION"))
+ SELECT start, node, min(hop) AS hop FROM (SELECT * FROM h UNION ALL SELECT * FROM h1 UNION ALL SELECT * FROM h2) GROUP BY ALL""")
 def j34_two_hop_subgraph(t):
     return graph.khop(edges(t), t("region").select(F.concat(F.lit("r:"), F.col("r_regionkey").cast("string")).alias("start")), 2)
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_partkey % 40 = l_suppkey % 40),
- l AS (SELECT DISTINCT a.s AS x, b.s AS y FROM e a JOIN e b USING (p)), reach AS (SELECT x, x AS y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x)
- SELECT x AS node, min(y) AS component FROM reach GROUP BY x""")
+@query(f"""WITH RECURSIVE {E_SQL}, {UP_SQL}, every AS (SELECT source AS node FROM edges UNION SELECT target FROM edges),
+ roots AS (SELECT every.node, coalesce(max_by(ancestor, depth), every.node) AS root FROM every LEFT JOIN up ON up.node = every.node GROUP BY every.node)
+ SELECT node, min(node) OVER (PARTITION BY root) AS component FROM roots""")
 def j30_connected_components(t):
-    e = t("lineitem").filter("l_partkey % 40 = l_suppkey % 40").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).distinct()
-    stars = e.join(e.groupBy("p").agg(F.min("s").alias("least")), "p").select("s", "least")
-    return connected_components(stars, "s", "least")
+    return connected_components(edges(t), "source", "target")
 
 
-@query("""WITH old AS (SELECT o_orderkey AS id, o_custkey AS scope, o_orderstatus AS v FROM orders), new AS (SELECT o_orderkey AS id, o_custkey AS scope, 'new' AS v FROM orders WHERE o_custkey % 7 = 0 AND o_orderkey % 2 = 0)
+@query("""WITH old AS (SELECT o_orderkey AS id, o_custkey AS scope, o_orderstatus AS v FROM orders), new AS (SELECT o_orderkey AS id, o_custkey AS scope, 'new' AS v FROM orders WHERE o_totalprice > 450000)
  SELECT * FROM old WHERE scope NOT IN (SELECT scope FROM new) UNION ALL SELECT * FROM new""")
 def j16_replace_scope(t):
-    old = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("scope"), F.col("o_orderstatus").alias("v"))
-    return graph.replace_scope(old, old.filter("scope % 7 = 0 AND id % 2 = 0").withColumn("v", F.lit("new")), "scope")
+    part = lambda o, v: o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("scope"), v.alias("v"))
+    return graph.replace_scope(part(t("orders"), F.col("o_orderstatus")), part(t("orders").filter("o_totalprice > 450000"), F.lit("new")), "scope")
 
 
 @query("""WITH c AS (SELECT l_orderkey AS id, list(l_partkey ORDER BY l_linenumber, l_partkey) AS targets FROM lineitem GROUP BY 1),
@@ -135,11 +133,11 @@ def j14_keep_active_targets(t):
     return kept.select("id", F.concat(F.lit("["), F.array_join(F.transform("targets", lambda x: x.cast("string")), ", "), F.lit("]")).alias("targets"))
 
 
-@query("""WITH e AS (SELECT DISTINCT l_suppkey AS source, l_partkey % 500 AS target, 'REL' AS type FROM lineitem), m AS (SELECT p_partkey AS old, p_partkey % 50 AS new FROM part WHERE p_partkey % 3 = 0)
+@query("""WITH e AS (SELECT DISTINCT l_suppkey AS source, l_partkey % 500 AS target, 'REL' AS type FROM lineitem), m AS (SELECT p_partkey AS old, p_partkey % 50 AS new FROM part WHERE p_size > 30)
  SELECT DISTINCT coalesce(a.new, source) AS source, coalesce(b.new, target) AS target, type FROM e LEFT JOIN m a ON source = a.old LEFT JOIN m b ON target = b.old WHERE coalesce(a.new, source) <> coalesce(b.new, target)""")
 def j23_endpoint_remap(t):
     e = t("lineitem").select(F.col("l_suppkey").alias("source"), (F.col("l_partkey") % 500).alias("target"), F.lit("REL").alias("type")).distinct()
-    return graph.remap(e, t("part").filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") % 50).alias("new")))
+    return graph.remap(e, t("part").filter("p_size > 30").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") % 50).alias("new")))
 
 
 @query("""WITH a AS (SELECT least(l_suppkey, l_partkey) AS lo, greatest(l_suppkey, l_partkey) AS hi FROM lineitem), b AS (SELECT least(o_custkey, o_orderkey % 100) AS lo, greatest(o_custkey, o_orderkey % 100) AS hi FROM orders)
@@ -164,10 +162,10 @@ def u1_merge_edges_with_ids(t):
     return graph.with_edge_ids(graph.merge_edges(edges(t).withColumn("w", F.lit(1)), edges(t).withColumn("w", F.lit(2))).drop("w"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'second' ELSE o_orderstatus END AS v FROM orders")
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'second' ELSE o_orderstatus END AS v FROM orders")
 def u1_merge_nodes(t):
-    first = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("v"))
-    return graph.merge_nodes(first, first.filter("id % 3 = 0").withColumn("v", F.lit("second")))
+    part = lambda o, v: o.select(F.col("o_orderkey").alias("id"), v.alias("v"))
+    return graph.merge_nodes(part(t("orders"), F.col("o_orderstatus")), part(t("orders").filter("o_orderpriority = '1-URGENT'"), F.lit("second")))
 
 
 @query("SELECT s.l_suppkey AS id FROM (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_quantity > 49) s UNION SELECT s_suppkey FROM supplier WHERE s_acctbal < 0 EXCEPT SELECT s_suppkey FROM supplier WHERE s_nationkey = 3")
@@ -187,20 +185,20 @@ def u4_symmetric_difference(t):
 
 # --- evidence and fusion --------------------------------------------------------------------------------------------
 
-AA = "l AS (SELECT DISTINCT l_suppkey AS node, l_partkey AS hub FROM lineitem WHERE l_partkey % 4 = 0)"
+AA = "l AS (SELECT DISTINCT l_suppkey AS node, l_partkey AS hub FROM lineitem)"
 
 
 @query(f"""WITH {AA}, w AS (SELECT hub, 1 / ln(count(*)) AS w FROM l GROUP BY hub HAVING count(*) > 1)
  SELECT a.node AS left, b.node AS right, round(1 - exp(-sum(w)), 6) AS score FROM l a JOIN l b USING (hub) JOIN w USING (hub) WHERE a.node < b.node GROUP BY ALL""")
 def a16_adamic_adar(t):
-    links = t("lineitem").filter("l_partkey % 4 = 0").select(F.col("l_suppkey").alias("node"), F.col("l_partkey").alias("hub"))
+    links = t("lineitem").select(F.col("l_suppkey").alias("node"), F.col("l_partkey").alias("hub"))
     return graph.adamic_adar(links).withColumn("score", F.round("score", 6))
 
 
 @query(f"""WITH {AA}, n AS (SELECT node, count(*) AS n FROM l GROUP BY node) SELECT a.node AS left, b.node AS right, round(count(*) / greatest(any_value(x.n), any_value(y.n)), 6) AS score
- FROM l a JOIN l b USING (hub) JOIN n x ON x.node = a.node JOIN n y ON y.node = b.node WHERE a.node < b.node GROUP BY ALL""".replace("l a JOIN", "l a JOIN"))
+ FROM l a JOIN l b USING (hub) JOIN n x ON x.node = a.node JOIN n y ON y.node = b.node WHERE a.node < b.node GROUP BY ALL""")
 def a17_common_ratio(t):
-    links = t("lineitem").filter("l_partkey % 4 = 0").select(F.col("l_suppkey").alias("node"), F.col("l_partkey").alias("member"))
+    links = t("lineitem").select(F.col("l_suppkey").alias("node"), F.col("l_partkey").alias("member"))
     return graph.common_ratio(links).withColumn("score", F.round("score", 6))
 
 
