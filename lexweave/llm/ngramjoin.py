@@ -41,6 +41,8 @@ SMALL, TILE = 64, 1024
 TILE_BYTES = 8_000_000
 #: Ids of texts to be verified that may be broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
+#: Parts in which a core's nodes meet its number of tiles.
+SALTS = 64
 _MEMO = 150_000
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -282,9 +284,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     side = lambda s: sets.select(F.col("nid").alias(s), F.col("set").alias(f"{s}_set"), F.col("copies").alias(f"{s}_copies"))
     links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(threshold), "a long, b long, a_copies long, b_copies long"), "links")
 
-    cored = sets.join(cores, "nid")
-    sized = cored.join(cored.groupBy("core").agg(F.ceil(F.greatest(F.count("*") / F.lit(tile), F.sum("bytes") / F.lit(TILE_BYTES))).cast("int").alias("tiles")), "core")
-    placed = sized.withColumn("tile", F.expr("cast(pmod(xxhash64(nid), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    # cores are sized and met by narrow rows, salted: a core of the tiles has more than `small` nodes, so copies of its size are fewer
+    sized = sets.select("nid", "bytes").join(cores, "nid")
+    tiling = sized.groupBy("core").agg(F.ceil(F.greatest(F.count("*") / F.lit(tile), F.sum("bytes") / F.lit(TILE_BYTES))).cast("int").alias("tiles"))
+    salted = tiling.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    where = sized.withColumn("salt", F.expr(f"cast(pmod(xxhash64(nid, 1), {SALTS}) AS int)")).join(salted, ["core", "salt"]).select("nid", "core", "tiles")
+    placed = sets.join(where, "nid").withColumn("tile", F.expr("cast(pmod(xxhash64(nid), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
     dealt = placed.select("core", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "nid", "copies", "set", "sig")
     tiles = stash(dealt.groupBy("core", "lo", "hi").applyInArrow(_tiles(threshold, least), "nid long, links long, to long"), "tiles")
 
