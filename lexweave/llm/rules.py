@@ -1,8 +1,10 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule is a native expression over text statistics. On a bounded sample the cascade measures what a rule
-costs and what share it rejects, then asks the rule with the most rejections per cost first; a document that one
-rule rejects is not asked the next. The order changes the time and never the verdict.
+Every rule is a native expression over text statistics. On a bounded sample the cascade measures what a rule with its
+statistics costs and what share it rejects, then asks the rule with the most rejections per cost first. The filter is one
+CASE in which each rule computes its own statistics from the text and its words, so a document that one rule rejects
+costs nothing of the next rule's statistics. Where the statistics are wanted as columns, the rules read those instead.
+The order changes the time and never the verdict.
 
 Defined results: a null or empty text has no words, so all statistics are 0 and it is rejected by `few_words`;
 repeated rows are judged alike; extra columns pass through, and a column named like a statistic does not clash,
@@ -23,23 +25,23 @@ SAMPLE_ROWS = 2000
 
 @dataclass(frozen=True)
 class Rule:
-    """`rejects` is SQL over {s}, the struct of statistics, and {t}, the text."""
+    """`rejects` is SQL over {s.<statistic>} and {t}, the text."""
 
     name: str
     rejects: str
 
 
 BASE_RULES = (
-    Rule("few_words", "{s}.n_words < 20"),
-    Rule("repeated_windows", "100 * {s}.n_repeat_words > 30 * {s}.n_words"),
+    Rule("few_words", "{s.n_words} < 20"),
+    Rule("repeated_windows", "100 * {s.n_repeat_words} > 30 * {s.n_words}"),
 )
 
 RULES = (
     *BASE_RULES,
-    Rule("symbols", "10 * {s}.n_symbols > 3 * {s}.n_words"),
-    Rule("word_length", "{s}.word_chars < 2 * {s}.n_words OR {s}.word_chars > 25 * {s}.n_words"),
-    Rule("repeated_lines", "2 * {s}.n_dup_lines > {s}.n_lines"),
-    Rule("shouting", "10 * regexp_count({t}, '\\\\p{{Lu}}{{2,}}') > 6 * {s}.n_words"),
+    Rule("symbols", "10 * {s.n_symbols} > 3 * {s.n_words}"),
+    Rule("word_length", "{s.word_chars} < 2 * {s.n_words} OR {s.word_chars} > 25 * {s.n_words}"),
+    Rule("repeated_lines", "2 * {s.n_dup_lines} > {s.n_lines}"),
+    Rule("shouting", "10 * regexp_count({t}, '\\\\p{{Lu}}{{2,}}') > 6 * {s.n_words}"),
 )
 
 _SPLIT = r"[\\x20\\x09-\\x0D]+"
@@ -55,42 +57,64 @@ aggregate(
   a -> a.n)
 """
 
-_STATS = f"""
-transform(array(filter(split(coalesce({{t}}, ''), '{_SPLIT}'), w -> w <> '')), w -> named_struct(
-  'n_words', cast(size(w) AS bigint),
-  'word_chars', cast(char_length(array_join(w, '')) AS bigint),
-  'n_symbols', cast(coalesce(regexp_count({{t}}, '[#*$%&|<>]'), 0) AS bigint),
-  'n_repeat_words', transform(
-     array(if(size(w) < 9, array(), transform(sequence(1, greatest(size(w) - 7, 1)), i -> xxhash64(slice(w, i, 8))))),
-     h -> if(size(array_distinct(h)) = size(h), 0L, {_COVERED}))[0]))[0]
-"""
+_WORDS = f"filter(split(coalesce({{t}}, ''), '{_SPLIT}'), x -> x <> '')"
+_FULL_LINES = r"filter(split(coalesce({t}, ''), '\n', -1), x -> x rlike '[^\\x20\\x09-\\x0D]')"
+
+# Each statistic over {t}, the text, {w}, its words, and {l}, its lines with a word.
+_STAT = {
+    "n_words": "cast(size({w}) AS bigint)",
+    "word_chars": "cast(char_length(array_join({w}, '')) AS bigint)",
+    "n_symbols": "cast(coalesce(regexp_count({t}, '[#*$%&|<>]'), 0) AS bigint)",
+    "n_dup_lines": "cast(size({l}) - size(array_distinct({l})) AS bigint)",
+    "n_repeat_words": "transform(array(if(size({w}) < 9, array(), transform(sequence(1, greatest(size({w}) - 7, 1)), i -> xxhash64(slice({w}, i, 8))))),"
+    f" h -> if(size(array_distinct(h)) = size(h), 0L, {_COVERED}))[0]",
+    "n_lines": "cast(size({l}) AS bigint)",
+}
+
+
+class _Columns:
+    """Statistics read from a struct column."""
+
+    def __init__(self, struct: str):
+        self.struct = struct
+
+    def __getattr__(self, name: str) -> str:
+        return f"`{self.struct}`.{name}"
 
-_LINES = """
-transform(array(filter(split(coalesce({t}, ''), '\\n', -1), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')), l -> named_struct(
-  'n_lines', cast(size(l) AS bigint), 'n_dup_lines', cast(size(l) - size(array_distinct(l)) AS bigint)))[0]
-"""
+
+class _Lazy:
+    """Statistics computed where a rule names them, from the text and its words `w`."""
+
+    def __init__(self, t: str):
+        self.t = t
+
+    def __getattr__(self, name: str) -> str:
+        return f"({_STAT[name].format(t=self.t, w='w', l=_FULL_LINES.format(t=self.t))})"
 
 
 def text_stats(text: str = "text") -> F.Column:
     """One struct of all statistics of the whole text, each array bound once inside one expression."""
     t = f"`{text}`"
-    a, b = _STATS.format(t=t), _LINES.format(t=t)
-    return F.expr(
-        f"transform(array(struct({a} AS a, {b} AS b)), x -> named_struct('n_words', x.a.n_words, 'word_chars', x.a.word_chars,"
-        " 'n_symbols', x.a.n_symbols, 'n_dup_lines', x.b.n_dup_lines, 'n_repeat_words', x.a.n_repeat_words,"
-        " 'n_lines', x.b.n_lines))[0]"
-    )
+    fields = ", ".join(f"'{n}', {x.format(t=t, w='w', l='l')}" for n, x in _STAT.items())
+    return F.expr(f"transform(array({_WORDS.format(t=t)}), w -> transform(array({_FULL_LINES.format(t=t)}), l -> named_struct({fields}))[0])[0]")
+
+
+def _asked(rules, text: str) -> F.Column:
+    """The name of the first rule that rejects; the words are split once, all else is computed by the rule that asks for it."""
+    t = f"`{text}`"
+    chain = " ".join(f"WHEN coalesce({r.rejects.format(s=_Lazy(t), t=t)}, false) THEN '{r.name}'" for r in rules)
+    return F.expr(f"transform(array({_WORDS.format(t=t)}), w -> CASE {chain} END)[0]") if rules else F.lit(None).cast("string")
 
 
 def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
     """Estimated cost and selectivity of each rule, best rejection per cost first."""
-    sample = docs.select(F.col(text).alias("t")).limit(sample_rows).select("t", text_stats("t").alias("s")).cache()
+    sample = docs.select(F.col(text).alias("t")).limit(sample_rows).cache()
     try:
         n = max(sample.count(), 1)
         found = []
         for rule in rules:
             began = time.perf_counter()
-            hits = sample.agg(F.sum(F.expr(f"int({rule.rejects.format(s='s', t='t')})")).alias("n")).first()["n"] or 0
+            hits = sample.agg(F.count(_asked((rule,), "t")).alias("n")).first()["n"]
             cost = max(time.perf_counter() - began, 1e-4) / n
             found.append({"rule": rule, "cost": cost, "selectivity": hits / n, "rank": hits / n / cost})
     finally:
@@ -98,21 +122,20 @@ def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "t
     return sorted(found, key=lambda x: -x["rank"])
 
 
-def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", stats: str = "stats", verdict: str = "rejected_by") -> DataFrame:
-    """docs with the struct `stats` and `rejected_by`: the name of the first rule, in cascade order, that rejects (null: kept)."""
+def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", stats: str | None = "stats", verdict: str = "rejected_by") -> DataFrame:
+    """docs with `rejected_by`, the name of the first rule, in cascade order, that rejects (null: kept), and the struct `stats`, if named."""
     ordered = [x["rule"] for x in order_rules(docs, rules, text)]
-    chain = None
-    for rule in ordered:
-        test = F.expr(f"coalesce({rule.rejects.format(s=f'`{stats}`', t=f'`{text}`')}, false)")
-        chain = F.when(test, F.lit(rule.name)) if chain is None else chain.when(test, F.lit(rule.name))
-    return docs.withColumn(stats, text_stats(text)).withColumn(verdict, chain)
+    if stats is None:
+        return docs.withColumn(verdict, _asked(ordered, text))
+    tests = [F.when(F.expr(f"coalesce({r.rejects.format(s=_Columns(stats), t=f'`{text}`')}, false)"), F.lit(r.name)) for r in ordered]
+    return docs.withColumn(stats, text_stats(text)).withColumn(verdict, F.coalesce(*tests) if tests else F.lit(None).cast("string"))
 
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, the statistics, base_failed and kept of every document."""
     s = "__stats"
     judged = cascade(docs.select("doc_id", "text"), rules, stats=s, verdict="__by")
-    base = " OR ".join(f"({r.rejects.format(s=s, t='text')})" for r in BASE_RULES)
+    base = " OR ".join(f"({r.rejects.format(s=_Columns(s), t='text')})" for r in BASE_RULES)
     return judged.select(
         "doc_id", *(F.col(f"{s}.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
         F.expr(base).alias("base_failed"), (F.col("__by").isNull() & ~F.expr(base)).alias("kept"),
@@ -121,4 +144,4 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents no rule rejects, with their own columns only."""
-    return cascade(docs, rules, stats="__stats", verdict="__by").filter("__by IS NULL").select(*(f"`{c}`" for c in docs.columns))
+    return cascade(docs, rules, stats=None, verdict="__by").filter("__by IS NULL").select(*(f"`{c}`" for c in docs.columns))

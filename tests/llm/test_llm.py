@@ -210,6 +210,12 @@ def test_rules(docs, texts):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(covered))
         assert r["base_failed"] == (len(w) < 20 or 100 * len(covered) > 30 * len(w)) and not (r["base_failed"] and r["kept"])
     assert rules.keep_good(docs).columns == docs.columns and rules.quality_rules(docs.limit(0)).count() == 0
+    # the filter, whose rules compute their own statistics, and the verdict over the columns agree, whatever the order
+    kept = sorted(i for i, r in got.items() if i is not None and r["kept"])
+    for order in (rules.RULES, rules.RULES[::-1]):
+        assert sorted({r["doc_id"] for r in rules.keep_good(docs, order).collect()} - {None}) == kept
+    assert {x["rule"].name for x in rules.order_rules(docs)} == {r.name for r in rules.RULES}
+    assert rules.keep_good(docs, ()).count() == docs.count() and rules.keep_good(docs.limit(0)).count() == 0
 
 
 def test_pipeline(spark):
