@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexweave.functions.labels import document_title, stripped
 from lexweave.functions.text import stable_id
 from lexweave.plans.cut import stash
 
@@ -49,6 +50,14 @@ def label_path(closure: DataFrame, nodes: DataFrame, levels: list[str]) -> DataF
     return named.groupBy("node").pivot("level", levels).agg(F.min("name"))
 
 
+def breadcrumb(edges: DataFrame, nodes: DataFrame, levels: list[str], document: str = "document") -> DataFrame:
+    """(node, path): 《document》 > part > chapter down to the node, its own name included at one of these levels; nameless ones are left out."""
+    label = F.when(F.col("level") == document, document_title(F.col("name"))).otherwise(stripped(F.col("name")))
+    named = nodes.filter(F.col("level").isin([document, *levels])).select(F.col("id").alias("ancestor"), label.alias("label")).filter("label <> ''")
+    steps = ancestors(edges, reflexive=True).join(named, "ancestor").groupBy("node").agg(F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("up"), "label"))).alias("steps"))
+    return steps.select("node", F.array_join(F.transform("steps", lambda x: x["label"]), " > ").alias("path"))
+
+
 def siblings(nodes: DataFrame, edges: DataFrame, order: str = "id") -> DataFrame:
     """id and previous: the sibling before it under the same parent at the same level."""
     w = Window.partitionBy("parent", "level").orderBy(order)

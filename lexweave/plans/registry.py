@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.functions import numerals, statute, text, vectors
+from lexweave.functions import labels, numerals, statute, text, vectors
 from lexweave.operators import graph, ranking, similarity
 from lexweave.operators.components import connected_components
 from lexweave.session import ship_package
@@ -428,6 +428,80 @@ def f56_embedding_text(t):
     return t("part").select("p_partkey", statute.embedding_text(F.col("p_name"), F.col("p_size").cast("string")).alias("body"))
 
 
+def _cases(t, *texts):
+    """Every part with one of the texts, chosen by its size; the SQL below lists the labels these texts must get."""
+    return t("part").select("p_partkey", F.element_at(F.array(*(F.lit(x) for x in texts)), F.col("p_size") % len(texts) + 1).alias("x"))
+
+
+def _labels_sql(*want, name="label"):
+    return f"SELECT p_partkey, {list(want)}[p_size % {len(want)} + 1] AS {name} FROM part"
+
+
+@query(_labels_sql("repealed", "amended", "effective", "repealed", "amended"))
+def f29_status(t):
+    rows = _cases(t, "0|甲", "修订|甲", "有效|甲予以废止", "|甲同时废止。", "?|甲修正").select("p_partkey", F.split("x", r"\|").alias("x"))
+    return rows.select("p_partkey", labels.status(F.col("x")[0], F.col("x")[1]).alias("label"))
+
+
+@query(_labels_sql("reply", "request", "shell", "substantive"))
+def f31_document_role(t):
+    return _cases(t, "关于甲的批 复通知", "甲的请示", "印发甲规定", "甲条例").select("p_partkey", labels.document_role(F.col("x")).alias("label"))
+
+
+@query(_labels_sql("revision", "amendment", "adoption", "other"))
+def f32_revision_event(t):
+    return _cases(t, "通过修订", "修正案公布", "甲施行", "甲").select("p_partkey", labels.revision_event(F.col("x")).alias("label"))
+
+
+@query("SELECT event_id, event_type IN ('click', 'view') AS yes, CASE WHEN event_type = 'click' THEN event_id END AS id FROM events")
+def f41_f42_answers(t):
+    answer = F.expr("CASE event_type WHEN 'click' THEN ' YES ' WHEN 'view' THEN '1' ELSE 'no' END")
+    number = F.when(F.col("event_type") == "click", F.concat(F.lit(" "), "event_id", F.lit("\n"))).otherwise(F.concat("event_id", F.lit(".5")))
+    return t("events").select("event_id", labels.is_yes(answer).alias("yes"), labels.prompt_id(number).alias("id"))
+
+
+@query(_labels_sql(0.12, 0.82, 0.18, name="score"))
+def m4_heuristic_prediction(t):
+    return _cases(t, "依照本法所称甲", "甲是指乙", "甲").select("p_partkey", labels.heuristic_prediction(F.col("x"))["score"].alias("score"))
+
+
+@query("SELECT p_partkey, p_name || ',类' || p_size AS words FROM part")
+def f46_keyword_filter(t):
+    size = F.concat(F.lit(" 类"), F.col("p_size"))
+    both = F.split("p_name", " ")
+    found = labels.keyword_filter(F.concat(F.array(F.lit("依法"), F.lit("x")), both, F.array(F.lit(" "), F.lit("eleven long")), both, F.array(size)))
+    return t("part").select("p_partkey", F.concat(F.array_join(F.slice(found, 1, 2), " "), F.lit(","), F.array_join(F.slice(found, 3, 9), " ")).alias("words"))
+
+
+@query("SELECT p_partkey, round(p_retailprice * CASE WHEN contains(p_name, 'widget') THEN 0.7 ELSE 1 END, 6) AS score FROM part")
+def f47_cited_penalty(t):
+    return t("part").select("p_partkey", F.round(labels.cited_penalty(F.col("p_retailprice"), F.col("p_name"), F.array(F.lit(""), F.lit("widget"))), 6).alias("score"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size < 10 THEN '["a","b"]' WHEN p_size < 20 THEN '["a"]' ELSE '["b"]' END AS ids FROM part""")
+def f49_append_id(t):
+    ids = F.expr("""CASE WHEN p_size < 10 THEN '["a","b"]' WHEN p_size < 20 THEN '[]' WHEN p_size < 30 THEN 'broken' END""")
+    return t("part").select("p_partkey", labels.append_id(ids, F.when(F.col("p_size") < 20, "a").otherwise("b")).alias("ids"))
+
+
+@query(f"""WITH RECURSIVE {N_SQL}, {E_SQL}, {UP_SQL}, steps AS (SELECT node, ancestor, depth FROM up UNION SELECT source, source, 0 FROM edges UNION SELECT target, target, 0 FROM edges)
+ SELECT node, string_agg(CASE level WHEN 'document' THEN '《' || name || '》' ELSE name END, ' > ' ORDER BY depth DESC) AS path FROM steps JOIN nodes ON id = ancestor WHERE level IN ('document', 'chapter') GROUP BY node""")
+def f52_breadcrumb(t):
+    return graph.breadcrumb(edges(t), nodes(t), ["part", "chapter", "section"])
+
+
+@query("SELECT p_partkey, '（' || ['一', '十', '二十三'][p_size % 3 + 1] || '）' AS item FROM part")
+def f53_item_marker(t):
+    n = t("part").select("p_partkey", F.element_at(F.array(F.lit(1), F.lit(10), F.lit(23)), F.col("p_size") % 3 + 1).cast("bigint").alias("n"))
+    return n.select("p_partkey", F.concat(F.lit("（"), numerals.to_chinese("n"), F.lit("）")).alias("item"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', '_') || '_法 律' AS title, '法律' AS start FROM part")
+def f57_file_titles(t):
+    named = t("part").select("p_partkey", F.concat(F.lit(" "), F.replace("p_name", F.lit(" "), F.lit("/")), F.lit(":法  律. ")).alias("raw"), F.lit("法律 .文").alias("long"))
+    return named.select("p_partkey", labels.file_title(F.col("raw")).alias("title"), labels.first_bytes("long", 9).alias("start"))
+
+
 @query()
 def f20_sentences(t):
     """Every sentence of every whole text; nested quotes are beyond SQL, so tests hold it against cases by hand."""
