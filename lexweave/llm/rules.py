@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Rows of the sample on which costs and selectivities are estimated (its only use).
 SAMPLE_ROWS = 2000
+#: Bytes of a text of that sample; longer ones take no part in the estimates (and are judged whole like all others).
+SAMPLE_TEXT_BYTES = 20_000
 
 
 @dataclass(frozen=True)
@@ -106,19 +108,27 @@ def _asked(rules, text: str) -> F.Column:
     return F.expr(f"transform(array({_WORDS.format(t=t)}), w -> CASE {chain} END)[0]") if rules else F.lit(None).cast("string")
 
 
+def bounded_sample(docs: DataFrame, text: str, rows: int = SAMPLE_ROWS, text_bytes: int = SAMPLE_TEXT_BYTES) -> DataFrame:
+    """`t`, the texts of the first rows, as a local table of at most rows * text_bytes bytes (40 MB by default).
+
+    Collecting a limit reads partition after partition until it has its rows, while a limit inside a plan takes that many
+    rows of every partition through a shuffle. The rows stay in the JVM.
+    """
+    spark = docs.sparkSession
+    few = docs.select(F.col(text).alias("t")).filter(F.coalesce(F.octet_length("t"), F.lit(0)) <= text_bytes).limit(rows)._jdf
+    return DataFrame(spark._jsparkSession.createDataFrame(few.collectAsList(), few.schema()), spark)
+
+
 def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
     """Estimated cost and selectivity of each rule, best rejection per cost first."""
-    sample = docs.select(F.col(text).alias("t")).limit(sample_rows).cache()
-    try:
-        n = max(sample.count(), 1)
-        found = []
-        for rule in rules:
-            began = time.perf_counter()
-            hits = sample.agg(F.count(_asked((rule,), "t")).alias("n")).first()["n"]
-            cost = max(time.perf_counter() - began, 1e-4) / n
-            found.append({"rule": rule, "cost": cost, "selectivity": hits / n, "rank": hits / n / cost})
-    finally:
-        sample.unpersist()
+    sample = bounded_sample(docs, text, sample_rows)
+    n = max(sample.count(), 1)
+    found = []
+    for rule in rules:
+        began = time.perf_counter()
+        hits = sample.agg(F.count(_asked((rule,), "t")).alias("n")).first()["n"]
+        cost = max(time.perf_counter() - began, 1e-4) / n
+        found.append({"rule": rule, "cost": cost, "selectivity": hits / n, "rank": hits / n / cost})
     return sorted(found, key=lambda x: -x["rank"])
 
 
