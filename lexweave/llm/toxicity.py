@@ -10,8 +10,8 @@ A passage of `window` words is as toxic as its length-normalised toxic log-likel
 features are its most toxic passages (the best two that do not overlap) and the length-normalised difference of the whole
 text; a logistic curve, fitted on labelled rows the counts have not seen, maps them to a score.
 
-The counts come from at most PER_CLASS labelled documents of each class (lowest hash of the id), the curve from at most
-PER_CLASS of each class; scoring reads every word of every text.
+The counts come from all labelled documents that may be used. The four weights of the curve come from at most PER_CLASS of
+each class (lowest hash of the id), each scored by the counts of the other folds; scoring reads every word of every text.
 
 Defined results: null and empty texts score like a text with no evidence; repeated rows score alike; rows with a null
 doc_id are scored and held_out is null; no labelled rows at all give the score 0; other columns are not read.
@@ -19,19 +19,19 @@ doc_id are scored and held_out is null; no labelled rows at all give the score 0
 
 from __future__ import annotations
 
-import math
 import re
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import stash, texts_of
+from .ngramjoin import BROADCAST_IDS
 
-PER_CLASS = 4000
+PER_CLASS, FOLDS = 4000, 3
 PREFIXES = (3, 4, 5, 6)
 DISCOUNT, WINDOW, MEMO = 2.0, 4, 150_000
 #: No single expression raises a passage by more than CLAMP or lowers it by more than FLOOR: ordinary words beside a toxic
@@ -61,46 +61,39 @@ class KneserNey:
         return max(-FLOOR, min(CLAMP, total))
 
 
-def fit_counts(rows: list[tuple[str, int, int]], discount: float = DISCOUNT) -> KneserNey:
-    """The model of (word, documents of the toxic class with it, of the ordinary class)."""
-    count = (defaultdict(float), defaultdict(float))  # by class: node -> documents
-    below: dict[str, int] = defaultdict(int)  # shared: node -> distinct words below
-    kinds = (defaultdict(int), defaultdict(int))  # by class: node -> distinct seen steps from it
-    parent: dict[str, str] = {}
-    for word, tox, ordi in rows:
-        chain = ["", *prefixes(word), word + "\0"]
-        for a, b in zip(chain, chain[1:]):
-            parent[b] = a
-            below[b] += 1
-        for node in chain:
-            count[0][node] += tox
-            count[1][node] += ordi
-        below[""] += 1
-    for node, up in parent.items():
-        for c in (0, 1):
-            if count[c][node] > discount:
-                kinds[c][up] += 1
-    # both classes as if equally large: the smaller one's counts decide nothing by their number of documents
-    steps, words = {}, {}
-    for node, up in parent.items():
-        if max(count[0][node], count[1][node]) <= discount:
-            continue
-        shared = below[node] / below[up]
+def fit_nodes(nodes: pa.Table, totals: list[tuple[int, int]], words: list[int], discount: float = DISCOUNT) -> list[KneserNey]:
+    """The model of all folds, then for each fold the one that has not seen it.
+
+    nodes: node, last (a whole word), parent ('' at the top), t0, o0, t1, ... (documents with it of the toxic and of the
+    ordinary class, by fold) and below (distinct words), below0, ... (those seen outside the fold), of every node that more
+    than `discount` documents of a class have, so of the parents of all of them too. totals: the same counts over all words
+    by fold; words: the distinct words as for below.
+    """
+    last = nodes["last"].to_numpy(zero_copy_only=False)
+    names = nodes["node"].combine_chunks()
+    inner = np.nonzero(~last)[0]
+    found = pc.index_in(nodes["parent"].combine_chunks(), value_set=names.take(pa.array(inner))).to_numpy(zero_copy_only=False)
+    top = nodes.num_rows
+    up = np.full(top, top, np.int64) if not len(inner) else np.where(np.isnan(found), top, inner[np.nan_to_num(found).astype(np.int64)])
+    by_fold = [[np.append(nodes[f"{c}{f}"].to_numpy(), totals[f][k]).astype(float) for f in range(FOLDS)] for k, c in enumerate("to")]
+    models = []
+    for left in (None, *range(FOLDS)):
+        below = np.append(nodes["below" if left is None else f"below{left}"].to_numpy(), words[0 if left is None else left + 1]).astype(float)
+        count = [sum(x for f, x in enumerate(by_fold[k]) if f != left) for k in (0, 1)]
+        shared = below[:top] / np.maximum(below[up], 1.0)
         log = []
-        for c in (0, 1):
-            n = count[c][up]
-            mass = max(count[c][node] - discount, 0.0)
-            kept = sum_kept(n, discount, kinds[c][up])
-            log.append(math.log(max((mass + kept * shared) / n if n > 0 else shared, 1e-12)))
+        # both classes as if equally large: the smaller one's counts decide nothing by their number of documents
+        for k in (0, 1):
+            own, n = count[k][:top], count[k][up]
+            kinds = np.bincount(up[own > discount], minlength=top + 1)[up]
+            # mass for the shared backoff: what the discount took, at least one discount
+            kept = np.minimum(n, discount * np.maximum(kinds, 1))
+            log.append(np.log(np.maximum(np.where(n > 0, (np.maximum(own - discount, 0.0) + kept * shared) / np.maximum(n, 1.0), shared), 1e-12)))
         value = log[0] - log[1]
-        if abs(value) > 0.05:
-            (words if node.endswith("\0") else steps)[node.rstrip("\0")] = value
-    return KneserNey(steps, words)
-
-
-def sum_kept(n: float, discount: float, kinds: int) -> float:
-    """Mass for the shared backoff: what the discount took, at least one discount."""
-    return min(n, discount * max(kinds, 1))
+        stays = (np.maximum(count[0][:top], count[1][:top]) > discount) & (np.abs(value) > 0.05)
+        pick = lambda mask: dict(zip(names.filter(pa.array(mask)).to_pylist(), value[mask].tolist()))
+        models.append(KneserNey(pick(stays & ~last), pick(stays & last)))
+    return models
 
 
 def features(ratios: np.ndarray, window: int = WINDOW) -> tuple[float, float, float]:
@@ -174,23 +167,55 @@ def bounded(labelled: DataFrame, label: str, per_class: int, keep: str) -> DataF
     return parts[0].unionByName(parts[1])
 
 
+def _cross(models):
+    def run(batches):
+        scorers = [_Scorer(m) for m in models.value]
+        for b in batches:
+            x = np.array([scorers[f](t) for f, t in zip(b.column("fold").to_pylist(), texts_of(b.column("text")))]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(3)), b.column("toxic")], names=["passage", "second", "whole", "toxic"])
+
+    return run
+
+
+def count_nodes(texts: DataFrame, ids: DataFrame) -> tuple[pa.Table, list[tuple[int, int]], list[int]]:
+    """What fit_nodes takes, from the texts (doc_id, text) of all ids (doc_id, toxic, fold)."""
+    folds = range(FOLDS)
+    words = stash(
+        texts.join(ids, "doc_id")
+        .select("toxic", "fold", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD_SQL), F.lit(0)))).alias("word"))
+        .groupBy("word").agg(*(F.sum(F.expr(f"if(fold = {f}, {v}, 0)")).alias(f"{c}{f}") for f in folds for c, v in (("t", "toxic"), ("o", "1 - toxic")))), "toxic-words",
+    )
+    seen = [F.lit(1), *(F.expr("if(" + " + ".join(f"t{g} + o{g}" for g in folds if g != f) + " > 0, 1, 0)") for f in folds)]
+    counts, below = [f"{c}{f}" for f in folds for c in "to"], ["below", *(f"below{f}" for f in folds)]
+    counted = words.select("word", *counts, *(x.alias(n) for x, n in zip(seen, below)))
+    sums = [F.sum(c).alias(c) for c in (*counts, *below)]
+    steps = ", ".join(map(str, PREFIXES))
+    chain = F.expr(f"filter(array({steps}), k -> char_length(word) > k)")
+    nodes = (
+        counted.withColumn("ks", chain)
+        .withColumn("step", F.explode(F.expr(
+            "concat(transform(ks, (k, i) -> struct(substring(word, 1, k) AS node, false AS last, if(i = 0, '', substring(word, 1, ks[i - 1])) AS parent)),"
+            " array(struct(word AS node, true AS last, if(size(ks) = 0, '', substring(word, 1, ks[size(ks) - 1])) AS parent)))")))
+        .groupBy("step.node", "step.last", "step.parent").agg(*sums)
+        .filter(f"greatest({' + '.join(f't{f}' for f in folds)}, {' + '.join(f'o{f}' for f in folds)}) > {DISCOUNT}")
+    )
+    total = counted.agg(*sums).first()
+    return nodes.toArrow(), [(total[f"t{f}"] or 0, total[f"o{f}"] or 0) for f in folds], [total[n] or 0 for n in below]
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id AS string)) % 4 <> 2", per_class: int = PER_CLASS):
-    """(model, curve) from the labelled rows that `usable` selects: half of the hash classes count, one calibrates."""
-    part = "pmod(crc32(cast(doc_id AS string)), 4)"
-    ids = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "toxic").filter(usable)
-    take = lambda keep: F.broadcast(bounded(ids, "toxic", per_class, keep))  # noqa: E731  at most 2 * per_class ids
+    """(model, curve) from the labelled rows that `usable` selects: all of them count; at most per_class of each class calibrate."""
+    ids = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(usable).withColumn("fold", F.expr(f"cast(pmod(xxhash64(doc_id, 29), {FOLDS}) AS int)"))
     texts = docs.select("doc_id", "text")
-    words = (
-        texts.join(take(f"{part} <> 3"), "doc_id")
-        .select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD_SQL), F.lit(0)))).alias("word"))
-        .groupBy("word").agg(F.sum("toxic").cast("int").alias("t"), F.sum(1 - F.col("toxic")).cast("int").alias("o"))
-    )
-    found = words.toArrow()
-    model = fit_counts(list(zip(found["word"].to_pylist(), found["t"].to_pylist(), found["o"].to_pylist())))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    held = take(f"{part} = 3")
-    scored = texts.join(held, "doc_id").select("doc_id", "text").mapInArrow(_apply(shared, np.zeros(4)), SCORES).join(held, "doc_id").select("passage", "second", "whole", "toxic").toPandas()
-    return shared, fit_curve(scored[["passage", "second", "whole"]].to_numpy(float), scored["toxic"].to_numpy(float))
+    # a checked size: up to BROADCAST_IDS ids go to all executors, more meet the texts by a shuffle
+    few = ids.count() <= BROADCAST_IDS
+    whole, *crossed = fit_nodes(*count_nodes(texts, F.broadcast(ids) if few else ids))
+    context = docs.sparkSession.sparkContext
+    apart = context.broadcast(crossed)
+    held = F.broadcast(bounded(ids, "toxic", per_class, "true"))  # at most 2 * per_class ids
+    scored = texts.join(held, "doc_id").select("text", "fold", "toxic").mapInArrow(_cross(apart), "passage double, second double, whole double, toxic int").toPandas()
+    apart.unpersist()
+    return context.broadcast(whole), fit_curve(scored[["passage", "second", "whole"]].to_numpy(float), scored["toxic"].to_numpy(float))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id AS string)) % 4 <> 2", per_class: int = PER_CLASS) -> DataFrame:

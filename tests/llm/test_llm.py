@@ -120,6 +120,16 @@ def test_toxicity(spark, docs):
     assert toxicity.toxicity_scores(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_counts_every_label(spark):
+    vile = ["bafon", "cedrit", "dolmak", "fugresh", "gopin", "hirtul", "jasbo", "kwemp", "lotziv", "murdag"]
+    text = lambda i: f"{words(30, i)} {vile[i // 2 % 10] if i % 2 else 'fine'} {words(30, -i)}"
+    docs = spark.createDataFrame([(i, text(i), "en", "s", None, None, None, None, None) for i in range(400)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    # the cap is the curve's alone: 20 documents of a class hold some of the 10 words too seldom, all documents do not
+    model, _ = toxicity.train(docs, labels, per_class=20)
+    assert min(map(model.value.ratio, vile)) > 2 and model.value.ratio("fine") < 0
+
+
 def test_quality(spark, docs):
     rows = [(1000 + i, words(60, i).upper() + "!!" if i % 3 == 0 else words(60, i), "en", "s", None, None, None, None, None) for i in range(150)]
     labels = spark.createDataFrame([(1000 + i, int(i % 3 != 0), 0) for i in range(150)], "doc_id long, quality int, toxic int")
