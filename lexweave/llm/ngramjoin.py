@@ -253,7 +253,9 @@ def _tiles(threshold: float, least):
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, small: int = SMALL, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
-    """(signed, classes): (doc_id, key) of every row, and for every key its class_id, copies and n_links.
+    """(signed, classes): (doc_id, key) of every row, and for every key its class_id, copies, n_links and group.
+
+    group tells classes apart, as class_id may be null or the same in several.
 
     class_id is the smallest doc_id of all rows linked directly or over others; n_links counts the other rows whose
     similarity is at least the threshold.
@@ -298,9 +300,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     grouped = connected_components(edges).select(F.col("node").alias("nid"), "component")
     lone = nodes.select("nid", "key", "first_id", "copies")
     first = lone.join(grouped, "nid").groupBy("component").agg(F.min("first_id").alias("class_first"))
-    named = grouped.join(first, "component").select("nid", "class_first", F.lit(True).alias("in_class"))
+    named = grouped.join(first, "component").select("nid", "component", "class_first", F.lit(True).alias("in_class"))
     classes = lone.join(named, "nid", "left").join(counts, "nid", "left").select(
-        "key", F.when(F.col("in_class"), F.col("class_first")).otherwise(F.col("first_id")).alias("class_id"), "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        "key", F.when(F.col("in_class"), F.col("class_first")).otherwise(F.col("first_id")).alias("class_id"), "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "nid").alias("group"))
     return signed.select("doc_id", "key"), classes
 
 
@@ -324,8 +326,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     from pyspark.sql import types as T
 
     signed, classes = near_duplicates(docs, threshold)
-    both = signed.join(classes.select("key", "class_id"), "key").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    chosen = stash(both.groupBy("class_id").agg(F.min("key").alias("__chosen")), "chosen")
+    both = signed.join(classes.select("key", "class_id", "group"), "key").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    chosen = stash(both.groupBy("group").agg(F.min(F.struct("key", "class_id")).alias("x")).select(F.col("x.key").alias("__chosen"), F.col("x.class_id").alias("__class_id")), "chosen")
     keyed = docs.mapInArrow(_keyed(docs.columns), T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
-    kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("__key") == F.col("__chosen")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*(f"`{c}`" for c in docs.columns))
+    kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("__class_id")) & (F.col("__key") == F.col("__chosen")), "left_semi")
+    # a key belongs to one class; exact copies with one id, or with none, are its rows
+    return kept.dropDuplicates(["__key"]).select(*(f"`{c}`" for c in docs.columns))

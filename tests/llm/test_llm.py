@@ -199,6 +199,13 @@ def test_ngram_join(docs, small):
         assert ngramjoin.ngram_join(docs.limit(0)).count() == 0
 
 
+def test_keep_one_by_class(spark):
+    x, y, z = words(120, 1), words(120, 2), words(120, 3)
+    rows = [(None, x), (None, x), (None, z), (5, words(90, 4)), (5, y), (6, y + " more"), (7, y)]
+    kept = ngramjoin.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, kept.collect())) == Counter([(None, x), (None, z), (5, words(90, 4)), (5, y)])
+
+
 def test_html(spark):
     page = '<html><head><title>T</title></head><body class="nav"><nav><a href=/>Home</a></nav><header>Site</header><div class="ad">Buy &amp; go</div><article><header><h1>Head&nbsp;line</h1></header><p>One &lt;two&gt;<br>three &amp four<p>Five <a href="x">six</a></p><div id="comments"><p>nice post</p></div><form>mail</form><script>var a="<p>no</p>"</script><aside>more</aside><p></p><p>Last.</article><footer>&copy; x</footer>'
     pages = spark.createDataFrame([(1, "u", page, "t"), (2, None, None, "t"), (3, "u", "", "t"), (4, "u", page * 300, "t"), (1, "u", page, "t")], "page_id long, url string, html string, text string")
