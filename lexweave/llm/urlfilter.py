@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from .common import stash
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]*)"""
-ROUNDS, DAMPING, THRESHOLD = 8, 0.85, 0.05
+HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
+#: The SQL takes links with a scheme and unrolls ROUNDS hops; the query reads protocol-relative links too and runs to TOLERANCE.
+SQL_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]*)"""
+ROUNDS, DAMPING, THRESHOLD, TOLERANCE = 8, 0.85, 0.05, 1e-4
 
 
 @dataclass(frozen=True)
@@ -63,25 +65,27 @@ def with_rule(df: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """(src, dst, n): absolute links between different hosts, counted before and after the shuffle."""
+    """(src, dst, n): absolute and protocol-relative links between different hosts, counted before and after the shuffle."""
     found = split_url(pages.select("url", F.regexp_extract_all("html", F.lit(HREF), F.lit(1)).alias("links")).filter(F.size("links") > 0))
-    links = found.select(F.col("host").alias("src"), F.explode("links").alias("url"))
+    links = found.select(F.col("host").alias("src"), F.explode(F.expr("transform(links, u -> if(startswith(u, '//'), concat('http:', u), u))")).alias("url"))
     return split_url(links).select("src", F.col("host").alias("dst")).filter("src <> dst AND src <> '' AND dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, rounds: int, damping: float) -> DataFrame:
-    """Personalised PageRank of (host, seed) over shares (src, dst, share); every round is one join and one aggregate."""
-    score = seeds.select("host", ((1 - damping) * F.col("seed")).alias("score"))
-    base = score
-    for k in range(rounds):
-        flow = links.join(score, links.src == score.host).groupBy("dst").agg(F.sum(F.col("share") * F.col("score") * damping).alias("score"))
-        score = base.unionByName(flow.select(F.col("dst").alias("host"), "score")).groupBy("host").agg(F.sum("score").alias("score"))
-        if k % 4 == 3:
-            score = stash(score, "rank")
-    return score
+def spread(seeds: DataFrame, links: DataFrame, tolerance: float, damping: float) -> DataFrame:
+    """Personalised PageRank of (host, seed) over shares (src, dst, share), until all that is still to come sums to at most tolerance.
+
+    Every round is one join and one aggregate; what flows falls by the damping at least, so the rounds end.
+    """
+    wave = score = seeds.select("host", ((1 - damping) * F.col("seed")).alias("score")).filter("score > 0")
+    while True:
+        flow = links.join(wave, links.src == wave.host).groupBy("dst").agg(F.sum(F.col("share") * F.col("score") * damping).alias("score"))
+        wave = stash(flow.select(F.col("dst").alias("host"), "score"), "wave")
+        score = stash(score.unionByName(wave).groupBy("host").agg(F.sum("score").alias("score")), "rank")
+        if (wave.agg(F.sum("score")).first()[0] or 0.0) * damping / (1 - damping) <= tolerance:
+            return score
 
 
-def judged_hosts(pages_ruled: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
+def judged_hosts(pages_ruled: DataFrame, links: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
     """(host, trust, distrust) of the hosts whose distrust exceeds their trust by more than the threshold.
 
     A host's seeds are the shares of its pages that rules allow and block.
@@ -99,16 +103,16 @@ def judged_hosts(pages_ruled: DataFrame, links: DataFrame, rounds: int = ROUNDS,
         into = links.groupBy("dst").agg(F.sum("n").alias("total"))
         forward = links.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
         backward = links.join(into, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("total")).alias("share"))
-        trust = spread(seeds.select("host", F.col("t").alias("seed")), stash(forward, "forward"), rounds, damping)
-        distrust = spread(seeds.select("host", F.col("b").alias("seed")), stash(backward, "backward"), rounds, damping)
+        trust = spread(seeds.select("host", F.col("t").alias("seed")), stash(forward, "forward"), tolerance, damping)
+        distrust = spread(seeds.select("host", F.col("b").alias("seed")), stash(backward, "backward"), tolerance, damping)
     both = trust.select("host", F.col("score").alias("trust"), F.lit(0.0).alias("distrust")).unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("score").alias("distrust")))
     return both.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).filter(F.col("distrust") - F.col("trust") > threshold)
 
 
-def url_filter(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, rounds: int = ROUNDS, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
+def url_filter(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, tolerance: float = TOLERANCE, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule and verdict of every page."""
     ruled = with_rule(split_url(pages.select("page_id", "url")), rules)
-    blocked = stash(judged_hosts(ruled, host_links(pages), rounds, damping, threshold).select("host", F.lit("block").alias("by_graph")), "blocked-hosts")
+    blocked = stash(judged_hosts(ruled, host_links(pages), tolerance, damping, threshold).select("host", F.lit("block").alias("by_graph")), "blocked-hosts")
     return ruled.join(blocked, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_graph", F.lit("allow")).alias("verdict"))
 
 
@@ -120,7 +124,7 @@ def oracle(rules: tuple[UrlRule, ...] = RULES, rounds: int = ROUNDS, damping: fl
 
     order = sorted(rules, key=lambda r: (-len(r.rule), r.rule))
     case = lambda v: "CASE " + " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{getattr(r, v)}'" for r in order) + " END"
-    href = HREF.replace("(?i)", "").replace("'", "''").replace("a-z", "a-zA-Z").replace("<a", "<[aA]").replace("href", "[hH][rR][eE][fF]")
+    href = SQL_HREF.replace("(?i)", "").replace("'", "''").replace("a-z", "a-zA-Z").replace("<a", "<[aA]").replace("href", "[hH][rR][eE][fF]")
     ctes = [
         f"split AS ({parts('pages', 'url', 'page_id, url, html')})",
         f"ruled AS (SELECT *, {case('rule')} AS rule, {case('verdict')} AS by_rule FROM split)",

@@ -153,6 +153,14 @@ def test_url_filter(spark):
     assert urlfilter.url_filter(pages.limit(0)).count() == 0
 
 
+def test_url_filter_long_chain(spark):
+    page = lambda to: " ".join(f'<a href="//{h}/x">y</a>' for h in to)
+    bad = [f"b{i}.net" for i in range(300)]
+    rows = [(0, "http://c0.io/", page(bad))] + [(i, f"http://c{i}.io/", page([f"c{i - 1}.io"])) for i in range(1, 12)] + [(100 + i, f"http://{h}/x", None) for i, h in enumerate(bad)]
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.url_filter(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(12)} == {"block"}
+
+
 def test_top_k(spark):
     r = np.random.default_rng(4)
     rows = [(i, [float(v) for v in np.round(r.standard_normal(6), 1)], 1) for i in range(90)]
