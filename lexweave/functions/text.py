@@ -38,11 +38,25 @@ def iso_date(c) -> Column:
     return out
 
 
+# fixed values: authorities before a title, and the words of versions in brackets after it
+AUTHORITIES = ("中华人民共和国", "最高人民法院关于", "最高人民检察院关于", "国务院关于", "全国人民代表大会常务委员会关于", "全国人民代表大会关于")
+VERSION_WORDS = ("修正文本", "修正版", "修订版", "修正版文本", "草案", "征求意见稿", "试行", "暂行", "修正案")
+
+
+def bare_title(c) -> Column:
+    """A title without white space and without quotes around it."""
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", ""), "^[《》“”\"']+|[《》“”\"']+$", "")
+
+
 def title_variants(c) -> Column:
-    """The title, without a version in brackets, without the state's name, and both; at least two letters each."""
-    state = "^中华人民共和国"  # fixed value: the state's name in titles
-    short = F.regexp_replace(c, "（[^）]*）$", "")
-    return F.filter(F.array_distinct(F.array(c, short, F.regexp_replace(short, state, ""), F.regexp_replace(c, state, ""))), lambda x: F.char_length(x) >= 2)
+    """The sorted forms a title is cited by, of two letters at least: bare, without its version in brackets, and each of
+    these without the authority before it."""
+    version = F.regexp_replace(F.regexp_replace(bare_title(c), rf"[（(](?:\d{{4}}年)?(?:{'|'.join(VERSION_WORDS)}).*?[）)]$", ""), r"[（(]\d{4}年[）)]$", "")
+    full = F.array(bare_title(c), version)
+    # the pattern asks for a letter after the authority: an authority alone is a title of its own
+    short = F.transform(full, lambda x: F.regexp_replace(x, f"^(?:{'|'.join(AUTHORITIES)})(?=.)", ""))
+    every = F.transform(F.concat(full, short), lambda x: bare_title(x))
+    return F.when(c.isNotNull(), F.array_sort(F.array_distinct(F.filter(every, lambda x: F.char_length(x) >= 2))))
 
 
 def pair_key(a, b) -> Column:

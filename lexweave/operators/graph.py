@@ -6,48 +6,74 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexweave.functions.labels import document_title, stripped
+from lexweave.functions.locator import sort_key
+from lexweave.functions.statute import tail_label
 from lexweave.functions.text import stable_id
 from lexweave.plans.cut import stash
 
-MAX_DEPTH = 8
-
-
 def with_edge_ids(edges: DataFrame) -> DataFrame:
     return edges.withColumn("id", stable_id("source", "target", "type"))
 
 
-def parents(edges: DataFrame, kind: str = "CONTAINS") -> DataFrame:
-    """(child, parent): one parent a child, the smallest where data give several."""
-    return edges.filter(F.col("type") == kind).groupBy(F.col("target").alias("child")).agg(F.min("source").alias("parent"))
+def parents(edges: DataFrame, kind: str = "CONTAINS", order: str | None = None) -> DataFrame:
+    """(child, parent): one parent a child. Where data give several, the last by the sequence column `order`, of those at
+    one place the greatest; without such a column the smallest. Edges with a null end or to themselves are none."""
+    own = edges.filter((F.col("type") == kind) & (F.col("source") != F.col("target"))).groupBy(F.col("target").alias("child"))
+    return own.agg((F.min("source") if order is None else F.max_by("source", F.struct(order, "source"))).alias("parent"))
+
 
+def ancestors(edges: DataFrame, kind: str = "CONTAINS", reflexive: bool = False, order: str | None = None) -> DataFrame:
+    """(node, ancestor, depth): the whole closure upward, to whatever depth.
 
-def ancestors(edges: DataFrame, kind: str = "CONTAINS", max_depth: int = MAX_DEPTH, reflexive: bool = False) -> DataFrame:
-    """(node, ancestor, depth): the closure upward, cycle-safe as depth is bounded and pairs are kept once."""
-    up = stash(parents(edges, kind), "parents")
-    level = up.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    out = level
-    for depth in range(2, max_depth + 1):
-        level = stash(level.join(up, F.col("ancestor") == F.col("child")).select("node", F.col("parent").alias("ancestor"), F.lit(depth).alias("depth")), "closure")
-        if level.isEmpty():
+    Each round doubles the reach: the pairs at the present reach meet all pairs known, so a hierarchy of depth d takes
+    log2(d) joins. In a cycle every other node is an ancestor once, at its least depth; the rounds end as no pair is new.
+    """
+    known = far = stash(parents(edges, kind, order).select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")), "closure")
+    reach = 1
+    while True:
+        on = known.select(F.col("node").alias("via"), F.col("ancestor").alias("up"), F.col("depth").alias("more"))
+        step = far.filter(F.col("depth") == reach).join(on, F.col("ancestor") == F.col("via")).select("node", F.col("up").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth")).filter("node <> ancestor")
+        far = stash(step.join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"), "closure")
+        if far.isEmpty():
             break
-        out = out.unionByName(level)
-    out = out.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+        known, reach = known.unionByName(far), 2 * reach
     if reflexive:
-        every = edges.filter(F.col("type") == kind).select(F.explode(F.array("source", "target")).alias("node")).distinct()
-        out = out.unionByName(every.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")))
-    return out
+        every = edges.filter(F.col("type") == kind).select(F.explode(F.array("source", "target")).alias("node")).filter("node IS NOT NULL").distinct()
+        known = known.unionByName(every.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")))
+    return known
 
 
 def nearest_at_level(closure: DataFrame, nodes: DataFrame, level: str) -> DataFrame:
-    """(node, ancestor): the nearest ancestor of a level."""
+    """(node, ancestor): the nearest ancestor of a level; over a reflexive closure a node of that level is its own."""
     at = nodes.filter(F.col("level") == level).select(F.col("id").alias("ancestor"))
     return closure.join(at, "ancestor").groupBy("node").agg(F.min_by("ancestor", F.struct("depth", "ancestor")).alias("ancestor"))
 
 
-def label_path(closure: DataFrame, nodes: DataFrame, levels: list[str]) -> DataFrame:
-    """node and the name of its ancestor at each level, one column a level."""
-    named = closure.join(nodes.select(F.col("id").alias("ancestor"), "level", "name"), "ancestor")
-    return named.groupBy("node").pivot("level", levels).agg(F.min("name"))
+def with_self(closure: DataFrame, nodes: DataFrame) -> DataFrame:
+    """A closure with every node as its own ancestor at depth 0, lone nodes included."""
+    own = nodes.select(F.col("id").alias("node"), F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
+    return closure.filter("depth > 0").unionByName(own)
+
+
+def owners(edges: DataFrame, nodes: DataFrame, level: str = "document") -> DataFrame:
+    """(node, owner): the document over every node, documents being their own; nodes without one are left out."""
+    return nearest_at_level(with_self(ancestors(edges), nodes), nodes, level).withColumnRenamed("ancestor", "owner")
+
+
+# fixed values: the endings of labels by level; an article's label is its name
+LABEL_SUFFIX = {"article": None, "paragraph": "款", "item": "项", "sub_item": "目"}
+
+
+def label_path(closure: DataFrame, nodes: DataFrame, levels: list[str], suffixes: dict[str, str | None] | None = None) -> DataFrame:
+    """node and its label at each level, one column a level: its own and those of its ancestors, the top-most where a
+    level repeats. With `suffixes` a level's label is the last label of that ending in the name ('' without one)."""
+    label = F.col("name")
+    for level, suffix in (suffixes or {}).items():
+        if suffix:
+            label = F.when(F.col("level") == level, tail_label(F.col("name"), suffix)).otherwise(label)
+    named = with_self(closure, nodes).join(nodes.select(F.col("id").alias("ancestor"), "level", label.alias("label")).filter(F.col("level").isin(levels)), "ancestor")
+    found = named.groupBy("node").pivot("level", levels).agg(F.max_by("label", F.struct("depth", "ancestor")))
+    return nodes.select(F.col("id").alias("node")).join(found, "node", "left")
 
 
 def breadcrumb(edges: DataFrame, nodes: DataFrame, levels: list[str], document: str = "document") -> DataFrame:
@@ -58,9 +84,9 @@ def breadcrumb(edges: DataFrame, nodes: DataFrame, levels: list[str], document:
     return steps.select("node", F.array_join(F.transform("steps", lambda x: x["label"]), " > ").alias("path"))
 
 
-def siblings(nodes: DataFrame, edges: DataFrame, order: str = "id") -> DataFrame:
-    """id and previous: the sibling before it under the same parent at the same level."""
-    w = Window.partitionBy("parent", "level").orderBy(order)
+def siblings(nodes: DataFrame, edges: DataFrame, order=None) -> DataFrame:
+    """id, parent and previous: the sibling before it under the same parent at the same level, by the numbers in the ids."""
+    w = Window.partitionBy("parent", "level").orderBy(sort_key(F.col("id"), F.col("level")) if order is None else order, "id")
     return nodes.join(parents(edges), F.col("id") == F.col("child")).select("id", "parent", F.lag("id").over(w).alias("previous"))
 
 
@@ -87,23 +113,24 @@ def replace_scope(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def merge_nodes(*parts: DataFrame) -> DataFrame:
-    """Union by id, the last part's row wins."""
-    return _ranked(parts, ["id"], F.desc("__part"))
+    """Union by id, the last part's row wins; of several in one part the greatest by the other columns as JSON."""
+    return _ranked(parts, ["id"], F.max_by)
 
 
 def merge_edges(*parts: DataFrame) -> DataFrame:
-    """Union by (source, target, type), the first part's row wins."""
-    return _ranked(parts, ["source", "target", "type"], F.asc("__part"))
+    """Union by (source, target, type), the first part's row wins; of several in one part the smallest by the other columns as JSON."""
+    return _ranked(parts, ["source", "target", "type"], F.min_by)
 
 
-def _ranked(parts, keys, order) -> DataFrame:
+def _ranked(parts, keys, best) -> DataFrame:
     every = None
     for i, p in enumerate(parts):
         p = p.withColumn("__part", F.lit(i))
         every = p if every is None else every.unionByName(p)
-    rest = [c for c in every.columns if c not in keys]
-    best = F.min_by if "ASC" in str(order) else F.max_by
-    return every.groupBy(*keys).agg(best(F.struct(*rest), F.struct("__part", *[F.col(c).cast("string") for c in rest if c != "__part"])).alias("r")).select(*keys, *(f"r.{c}" for c in rest if c != "__part"))
+    rest = [c for c in every.columns if c not in keys and c != "__part"]
+    if not rest:
+        return every.select(*keys).distinct()
+    return every.groupBy(*keys).agg(best(F.struct(*rest), F.struct("__part", F.to_json(F.struct(*rest)))).alias("r")).select(*keys, *(f"r.{c}" for c in rest))
 
 
 def keep_active_targets(candidates: DataFrame, active: DataFrame) -> DataFrame:

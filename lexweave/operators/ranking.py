@@ -57,9 +57,15 @@ def threshold_grid(df: DataFrame, gold: str, score: str, grid: list[float]) -> D
 
 
 def error_summary(df: DataFrame, kind: str, message: str, id_col: str, top: int = 10) -> DataFrame:
-    """Counts by (kind, message), three sample ids, the commonest first."""
-    n = df.groupBy(kind, message).agg(F.count("*").alias("n"), F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"))
-    return n.orderBy(F.desc("n"), kind, message).limit(top)
+    """Counts by (kind, message) with the three smallest ids as samples, the commonest first; `top` is the report's length.
+
+    Ids are ranked after their counts are merged, by a running rank that stops at three in every task (a group limit).
+    """
+    few = df.filter(F.col(id_col).isNotNull()).withColumn("__r", F.row_number().over(Window.partitionBy(kind, message).orderBy(id_col))).filter("__r <= 3")
+    n = df.groupBy(kind, message).agg(F.count("*").alias("n")).orderBy(F.desc("n"), kind, message).limit(top)
+    named = few.groupBy(F.col(kind).alias("__kind"), F.col(message).alias("__message")).agg(F.sort_array(F.collect_list(id_col)).alias("sample_ids"))
+    met = n.join(named, F.col(kind).eqNullSafe(F.col("__kind")) & F.col(message).eqNullSafe(F.col("__message")), "left")
+    return met.select(kind, message, "n", F.coalesce("sample_ids", F.array().cast(named.schema["sample_ids"].dataType)).alias("sample_ids"))
 
 
 def batches(df: DataFrame, keys: list[str], order: list, size: int) -> DataFrame:

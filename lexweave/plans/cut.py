@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made = threading.local()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: spark.checkpoint.dir, or in local mode (tests) a temporary one."""
@@ -27,13 +32,33 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for paths in getattr(_made, "scopes", ())[-1:]:
+        paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete stashed tables that later written tables have replaced; other DataFrames are left alone."""
+    for df in tables:
+        if path := getattr(df, "_written_at", None):
+            delete(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables stashed inside at the end, on failure too. What is to stay must be written outside of it, or read
+    before the end: DataFrames are lazy."""
+    _made.scopes = [*getattr(_made, "scopes", ()), []]
+    try:
+        yield
+    finally:
+        for path in _made.scopes.pop():
+            delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is gone already is no error."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def empty_like(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)

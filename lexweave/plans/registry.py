@@ -68,6 +68,7 @@ N_SQL = """nodes AS (SELECT 'r:' || r_regionkey AS id, 'DocumentNode' AS type, '
  UNION ALL SELECT 'o:' || o_orderkey, 'ProvisionNode', 'paragraph', CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders)"""
 E_SQL = """edges AS (SELECT 'r:' || n_regionkey AS source, 'n:' || n_nationkey AS target, 'CONTAINS' AS type FROM nation
  UNION ALL SELECT 'n:' || c_nationkey, 'c:' || c_custkey, 'CONTAINS' FROM customer UNION ALL SELECT 'c:' || o_custkey, 'o:' || o_orderkey, 'CONTAINS' FROM orders)"""
+SELF_SQL = "self AS (SELECT * FROM up UNION ALL SELECT id, id, 0 FROM nodes)"
 UP_SQL = "up AS (SELECT target AS node, source AS ancestor, 1 AS depth FROM edges UNION ALL SELECT up.node, e.source, up.depth + 1 FROM up JOIN edges e ON up.ancestor = e.target)"
 
 
@@ -76,12 +77,12 @@ def j3_ancestor_closure(t):
     return graph.ancestors(edges(t))
 
 
-@query(f"WITH RECURSIVE {N_SQL}, {E_SQL}, {UP_SQL} SELECT node, ancestor FROM up JOIN nodes ON id = ancestor WHERE level = 'document'")
+@query(f"WITH RECURSIVE {N_SQL}, {E_SQL}, {UP_SQL}, {SELF_SQL} SELECT node, ancestor AS owner FROM self JOIN nodes ON id = ancestor WHERE level = 'document'")
 def j4_owner_document(t):
-    return graph.nearest_at_level(graph.ancestors(edges(t)), nodes(t), "document")
+    return graph.owners(edges(t), nodes(t))
 
 
-@query(f"WITH RECURSIVE {N_SQL}, {E_SQL}, {UP_SQL} SELECT node, min(name) FILTER (level = 'document') AS document, min(name) FILTER (level = 'chapter') AS chapter, min(name) FILTER (level = 'article') AS article FROM up JOIN nodes ON id = ancestor GROUP BY node")
+@query(f"WITH RECURSIVE {N_SQL}, {E_SQL}, {UP_SQL}, {SELF_SQL} SELECT node, min(name) FILTER (level = 'document') AS document, min(name) FILTER (level = 'chapter') AS chapter, min(name) FILTER (level = 'article') AS article FROM self JOIN nodes ON id = ancestor GROUP BY node")
 def j5_label_path(t):
     return graph.label_path(graph.ancestors(edges(t)), nodes(t), ["document", "chapter", "article"])
 
@@ -275,9 +276,9 @@ def a5_grouped_counts(t):
     return t("documents").groupBy("lang", "source").agg(F.max("n_chars").alias("longest"), F.min("doc_id").alias("first_doc"), F.count("*").alias("n"), F.count_distinct("n_chars").alias("sizes"))
 
 
-@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) AS r FROM documents) WHERE r = 1")
+@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY coalesce(length(text), 0) DESC, doc_id) AS r FROM documents) WHERE r = 1")
 def a9_longest_text(t):
-    return t("documents").groupBy("source").agg(F.min_by("doc_id", F.struct(-F.char_length("text"), "doc_id")).alias("doc_id"))
+    return t("documents").groupBy("source").agg(F.min_by("doc_id", F.struct(-F.coalesce(F.char_length("text"), F.lit(0)), "doc_id")).alias("doc_id"))
 
 
 @query("SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses, min(o_orderkey) AS representative FROM orders GROUP BY ALL")
@@ -300,10 +301,10 @@ def a33_system_counts(t):
     return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.count_if(F.col("value") > 50).alias("high"), F.max("ts").alias("latest"))
 
 
-@query("SELECT event_type AS kind, CAST(json_extract(props, '$.k') AS BIGINT) % 5 AS message, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY ALL ORDER BY n DESC, kind, message LIMIT 10")
+@query("SELECT event_type AS kind, CAST(json_extract(props, '$.k') AS BIGINT) % 5 AS message, count(*) AS n, array_to_string(list_sort(list(event_id))[1:3], ',') AS sample_ids FROM events GROUP BY ALL ORDER BY n DESC, kind, message LIMIT 10")
 def a22_error_summary(t):
     e = t("events").select(F.col("event_type").alias("kind"), (F.get_json_object("props", "$.k").cast("bigint") % 5).alias("message"), "event_id")
-    return ranking.error_summary(e, "kind", "message", "event_id")
+    return ranking.error_summary(e, "kind", "message", "event_id").withColumn("sample_ids", F.array_join(F.transform("sample_ids", lambda x: x.cast("string")), ","))
 
 
 METRIC = "m AS (SELECT l_returnflag = 'R' AS g, l_discount * 10 AS s FROM lineitem)"
@@ -377,10 +378,18 @@ def l4_search_page(t):
 
 # --- scalar functions -----------------------------------------------------------------------------------------------
 
-@query("SELECT p_partkey * 4987 AS n, p_partkey * 4987 AS back FROM part WHERE p_partkey * 4987 BETWEEN 1 AND 99999999")
+def _numeral_sql(n: str) -> str:
+    """SQL that writes a numeral from its decimal digits, another way than the library: zeros kept, then collapsed."""
+    digit = lambda v, k: f"CAST(({v} // {10**k}) % 10 AS INTEGER)"
+    letter = lambda v, k, unit: f"CASE WHEN {digit(v, k)} = 0 THEN '零' ELSE substr('零一二三四五六七八九', {digit(v, k)} + 1, 1) || '{unit}' END"
+    low = lambda v: "regexp_replace(rtrim(ltrim(regexp_replace(" + " || ".join(letter(v, k, u) for k, u in ((3, "千"), (2, "百"), (1, "十"), (0, ""))) + ", '零+', '零', 'g'), '零'), '零'), '^一十', '十')"
+    return f"CASE WHEN {n} >= 10000 THEN {low(f'({n} // 10000)')} || '万' || CASE WHEN {n} % 10000 BETWEEN 1 AND 999 THEN '零' ELSE '' END ELSE '' END || {low(f'({n} % 10000)')}"
+
+
+@query(f"SELECT p_partkey, n, {_numeral_sql('n')} AS numeral, n AS back FROM (SELECT p_partkey, CAST((p_partkey * 4987) % 99999999 + 1 AS BIGINT) AS n FROM part)")
 def f1_numeral_round_trip(t):
-    n = t("part").select((F.col("p_partkey") * 4987).alias("n")).filter("n BETWEEN 1 AND 99999999").withColumn("c", numerals.to_chinese("n"))
-    return n.select("n", numerals.from_chinese("c").alias("back"))
+    n = t("part").select("p_partkey", F.expr("cast(pmod(p_partkey * 4987L, 99999999L) + 1 AS bigint)").alias("n")).withColumn("numeral", numerals.to_chinese("n"))
+    return n.select("p_partkey", "n", "numeral", numerals.from_chinese("numeral").alias("back"))
 
 
 @query("SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9_]+', '-', 'g'), '-') AS slug FROM part")
@@ -404,10 +413,17 @@ def f13_text_hash(t):
     return t("documents").select("doc_id", F.sha2("text", 256).alias("sha"))
 
 
-@query("SELECT doc_id, substr(text, 1, 3) || '[T]' || substr(text, 4, 4) || '[/T]' || substr(text, 8) AS marked, trim(substr(text, 4, 4), ' ' || chr(9) || chr(10) || chr(13)) AS target FROM documents WHERE length(text) >= 7 AND text NOT LIKE '%[T]%'")
+@query("""SELECT doc_id, CASE WHEN length(text) < 7 THEN text ELSE substr(text, 1, 3) || '[T]' || substr(text, 4, 4) || '[/T]' || substr(text, 8) END AS marked FROM documents""")
 def f22_marked_targets(t):
-    docs = t("documents").filter("char_length(text) >= 7 AND NOT contains(text, '[T]')").select("doc_id", statute.marked("text", "3", "7").alias("marked"))
-    return docs.withColumn("target", statute.marked_target(F.col("marked")))
+    """Texts under 7 letters have no such span and stay as they are."""
+    return t("documents").select("doc_id", statute.marked("text", "3", "7").alias("marked"))
+
+
+@query("""SELECT doc_id, coalesce(trim(regexp_extract(text, '(?s)\\[T\\](.+?)\\[/T\\]', 1), ' ' || chr(9) || chr(10) || chr(13)), '') AS target, len(string_split(text, '[T]')) = 2 AND len(string_split(text, '[/T]')) = 2 AS one_mark
+ FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '[T]' || text || '[/T]' ELSE 'a[T] b ' || chr(10) || '[/T]' || text END AS text FROM documents)""")
+def f22_extracted_targets(t):
+    made = F.expr("CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN concat('[T]', text, '[/T]') ELSE concat('a[T] b \\n[/T]', text) END")
+    return t("documents").select("doc_id", made.alias("text")).select("doc_id", statute.marked_target(F.col("text")).alias("target"), statute.has_one_mark(F.col("text")).alias("one_mark"))
 
 
 @query("SELECT p_partkey, '第' || (p_partkey + 1) || '条' AS label FROM part")
