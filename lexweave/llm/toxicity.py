@@ -1,17 +1,21 @@
 """Toxicity: class-conditional Kneser-Ney models of expressions.
 
-An expression is a lower-cased word. Each class has a model of its own along the word's prefixes: the probability of the
-next longer prefix (3, 4, 5, 6 letters, then the word) given the shorter one, from absolute-discounted document counts of
-the class, interpolated with a backoff that both classes share: continuation counts, the number of distinct words below
-each prefix. Where a class has seen too little, both classes fall back on the same shared counts and rare expressions
-weigh nothing; a new word on a prefix known as toxic still does.
-
-A passage of `window` words is as toxic as its length-normalised toxic log-likelihood exceeds its ordinary one. A text's
-features are its most toxic passages (the best two that do not overlap) and the length-normalised difference of the whole
-text; a logistic curve, fitted on labelled rows the counts have not seen, maps them to a score.
+An expression is a lower-cased word, written as a path of prefixes: 3, 4, 5 and 6 letters, then the word. Each class has a
+model of its own: the probability of the next step given the prefix before it is the class's discounted document count,
+and what the discounts take is dealt by a backoff that both classes share: continuation counts, the share of the distinct
+words below a prefix that go on with the step. The steps from a prefix sum to 1 in each class. Discounts are estimated for
+each class from its counts of counts (one for 1, one for 2, one for more); counts of at most CUTOFF documents go to the
+backoff whole, so rare expressions are smoothed to the shared counts, and a new word on a prefix known as toxic still weighs.
+
+A class with less text leaves more to its backoff, which alone would make every unseen word look like it. So a step's
+log-likelihood is taken over the class's own backoff, ln(P(step) / (backoff weight * shared)), and the ratio of a word is
+the toxic sum less the ordinary one. A passage of `window` words is as toxic as its length-normalised ratio. A text's
+features are its most toxic passages (the best two that do not overlap) and the length-normalised ratio of the whole text; a
+logistic curve, fitted on labelled rows whose counts are left out, maps them to a score.
 
 The counts come from all labelled documents that may be used. The four weights of the curve come from at most PER_CLASS of
 each class (lowest hash of the id), each scored by the counts of the other folds; scoring reads every word of every text.
+Counts, discounts and steps are computed in Spark; the driver gets 24 bytes of each step whose ratio is not about 0.
 
 Defined results: null and empty texts score like a text with no evidence; repeated rows score alike; rows with a null
 doc_id are scored and held_out is null; no labelled rows at all give the score 0; other columns are not read.
@@ -24,7 +28,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,67 +36,44 @@ from .ngramjoin import BROADCAST_IDS
 
 PER_CLASS, FOLDS = 4000, 3
 PREFIXES = (3, 4, 5, 6)
-DISCOUNT, WINDOW, MEMO = 2.0, 4, 150_000
-#: No single expression raises a passage by more than CLAMP or lowers it by more than FLOOR: ordinary words beside a toxic
-#: expression do not excuse it.
-CLAMP, FLOOR = 8.0, 0.5
+CUTOFF, WINDOW, MEMO = 2, 4, 150_000
+#: Steps whose ratios are all smaller than this weigh nothing.
+LEAST_RATIO = 0.02
+#: No single expression lowers a passage by more than FLOOR: ordinary words beside a toxic expression do not excuse it.
+FLOOR = 0.5
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W_]+")
 WORD_SQL = r"[\p{L}\p{N}]+"
-
-
-def prefixes(word: str) -> list[str]:
-    return [word[:k] for k in PREFIXES if len(word) > k]
+#: The model of all folds, then the one that leaves each fold out.
+VIEWS = (None, *range(FOLDS))
 
 
 @dataclass
 class KneserNey:
-    """Log-likelihood ratio (toxic over ordinary) of the step to each prefix or word that some class has seen."""
-
-    steps: dict[str, float]  # prefix -> ratio of the step to it from its parent
-    words: dict[str, float]  # word -> ratio of the last step
-
-    def ratio(self, word: str) -> float:
-        s = self.steps
-        total = self.words.get(word, 0.0)
-        for p in prefixes(word):
-            total += s.get(p, 0.0)
-        return max(-FLOOR, min(CLAMP, total))
-
-
-def fit_nodes(nodes: pa.Table, totals: list[tuple[int, int]], words: list[int], discount: float = DISCOUNT) -> list[KneserNey]:
-    """The model of all folds, then for each fold the one that has not seen it.
-
-    nodes: node, last (a whole word), parent ('' at the top), t0, o0, t1, ... (documents with it of the toxic and of the
-    ordinary class, by fold) and below (distinct words), below0, ... (those seen outside the fold), of every node that more
-    than `discount` documents of a class have, so of the parents of all of them too. totals: the same counts over all words
-    by fold; words: the distinct words as for below.
-    """
-    last = nodes["last"].to_numpy(zero_copy_only=False)
-    names = nodes["node"].combine_chunks()
-    inner = np.nonzero(~last)[0]
-    found = pc.index_in(nodes["parent"].combine_chunks(), value_set=names.take(pa.array(inner))).to_numpy(zero_copy_only=False)
-    top = nodes.num_rows
-    up = np.full(top, top, np.int64) if not len(inner) else np.where(np.isnan(found), top, inner[np.nan_to_num(found).astype(np.int64)])
-    by_fold = [[np.append(nodes[f"{c}{f}"].to_numpy(), totals[f][k]).astype(float) for f in range(FOLDS)] for k, c in enumerate("to")]
-    models = []
-    for left in (None, *range(FOLDS)):
-        below = np.append(nodes["below" if left is None else f"below{left}"].to_numpy(), words[0 if left is None else left + 1]).astype(float)
-        count = [sum(x for f, x in enumerate(by_fold[k]) if f != left) for k in (0, 1)]
-        shared = below[:top] / np.maximum(below[up], 1.0)
-        log = []
-        # both classes as if equally large: the smaller one's counts decide nothing by their number of documents
-        for k in (0, 1):
-            own, n = count[k][:top], count[k][up]
-            kinds = np.bincount(up[own > discount], minlength=top + 1)[up]
-            # mass for the shared backoff: what the discount took, at least one discount
-            kept = np.minimum(n, discount * np.maximum(kinds, 1))
-            log.append(np.log(np.maximum(np.where(n > 0, (np.maximum(own - discount, 0.0) + kept * shared) / np.maximum(n, 1.0), shared), 1e-12)))
-        value = log[0] - log[1]
-        stays = (np.maximum(count[0][:top], count[1][:top]) > discount) & (np.abs(value) > 0.05)
-        pick = lambda mask: dict(zip(names.filter(pa.array(mask)).to_pylist(), value[mask].tolist()))
-        models.append(KneserNey(pick(stays & ~last), pick(stays & last)))
-    return models
+    """Ratio (toxic over ordinary) of every step: sorted 64-bit hashes of the steps, and their ratios."""
+
+    steps: np.ndarray
+    ratios: np.ndarray
+
+    def ratio(self, words: list[str]) -> np.ndarray:
+        """The ratio of each word, at least -FLOOR."""
+        import xxhash
+
+        keys, owner = [], []
+        for i, w in enumerate(words):
+            for k in PREFIXES:
+                if len(w) <= k:
+                    break
+                keys.append("<" + w[:k])
+                owner.append(i)
+            keys.append("=" + w)
+            owner.append(i)
+        if not len(self.steps) or not keys:
+            return np.zeros(len(words))
+        h = np.fromiter((xxhash.xxh64_intdigest(k.encode(), 42) for k in keys), np.uint64, len(keys)).view(np.int64)
+        at = np.minimum(np.searchsorted(self.steps, h), len(self.steps) - 1)
+        found = np.where(self.steps[at] == h, self.ratios[at], 0.0)
+        return np.maximum(np.bincount(owner, weights=found, minlength=len(words)), -FLOOR)
 
 
 def features(ratios: np.ndarray, window: int = WINDOW) -> tuple[float, float, float]:
@@ -112,13 +92,12 @@ class _Scorer:
         self.model, self.memo = model, {}
 
     def __call__(self, text: str) -> tuple[float, float, float]:
-        memo, ratio = self.memo, self.model.ratio
+        memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
         words = _WORD.findall(text.lower())
-        for w in set(words):
-            if w not in memo:
-                memo[w] = ratio(w)
+        new = [w for w in set(words) if w not in memo]
+        memo.update(zip(new, self.model.ratio(new).tolist()))
         return features(np.fromiter(map(memo.__getitem__, words), np.float64, len(words)))
 
 
@@ -169,7 +148,8 @@ def bounded(labelled: DataFrame, label: str, per_class: int, keep: str) -> DataF
 
 def _cross(models):
     def run(batches):
-        scorers = [_Scorer(m) for m in models.value]
+        steps, ratios = models.value
+        scorers = [_Scorer(KneserNey(steps, ratios[f + 1])) for f in range(FOLDS)]
         for b in batches:
             x = np.array([scorers[f](t) for f, t in zip(b.column("fold").to_pylist(), texts_of(b.column("text")))]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(3)), b.column("toxic")], names=["passage", "second", "whole", "toxic"])
@@ -177,30 +157,51 @@ def _cross(models):
     return run
 
 
-def count_nodes(texts: DataFrame, ids: DataFrame) -> tuple[pa.Table, list[tuple[int, int]], list[int]]:
-    """What fit_nodes takes, from the texts (doc_id, text) of all ids (doc_id, toxic, fold)."""
+def count_steps(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Every step of the words of the texts (doc_id, text) of all ids (doc_id, toxic, fold): step ('<' and a prefix, or '='
+    and a word), parent ('' at the top), and for each view v: tv and ov, the documents of the toxic and of the ordinary
+    class with it, and dv, the distinct words below it."""
     folds = range(FOLDS)
-    words = stash(
+    words = (
         texts.join(ids, "doc_id")
         .select("toxic", "fold", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD_SQL), F.lit(0)))).alias("word"))
-        .groupBy("word").agg(*(F.sum(F.expr(f"if(fold = {f}, {v}, 0)")).alias(f"{c}{f}") for f in folds for c, v in (("t", "toxic"), ("o", "1 - toxic")))), "toxic-words",
-    )
-    seen = [F.lit(1), *(F.expr("if(" + " + ".join(f"t{g} + o{g}" for g in folds if g != f) + " > 0, 1, 0)") for f in folds)]
-    counts, below = [f"{c}{f}" for f in folds for c in "to"], ["below", *(f"below{f}" for f in folds)]
-    counted = words.select("word", *counts, *(x.alias(n) for x, n in zip(seen, below)))
-    sums = [F.sum(c).alias(c) for c in (*counts, *below)]
-    steps = ", ".join(map(str, PREFIXES))
-    chain = F.expr(f"filter(array({steps}), k -> char_length(word) > k)")
-    nodes = (
-        counted.withColumn("ks", chain)
-        .withColumn("step", F.explode(F.expr(
-            "concat(transform(ks, (k, i) -> struct(substring(word, 1, k) AS node, false AS last, if(i = 0, '', substring(word, 1, ks[i - 1])) AS parent)),"
-            " array(struct(word AS node, true AS last, if(size(ks) = 0, '', substring(word, 1, ks[size(ks) - 1])) AS parent)))")))
-        .groupBy("step.node", "step.last", "step.parent").agg(*sums)
-        .filter(f"greatest({' + '.join(f't{f}' for f in folds)}, {' + '.join(f'o{f}' for f in folds)}) > {DISCOUNT}")
+        .groupBy("word").agg(*(F.sum(F.expr(f"if(fold = {f}, {v}, 0)")).alias(f"{c}{f}") for f in folds for c, v in (("t", "toxic"), ("o", "1 - toxic"))))
     )
-    total = counted.agg(*sums).first()
-    return nodes.toArrow(), [(total[f"t{f}"] or 0, total[f"o{f}"] or 0) for f in folds], [total[n] or 0 for n in below]
+    kept = lambda view: [f for f in folds if f != view]
+    viewed = [F.expr(" + ".join(f"{c}{f}" for f in kept(view))).alias(f"{c}_{i}") for i, view in enumerate(VIEWS) for c in "to"]
+    counted = words.select("word", *viewed).select("*", *(F.expr(f"if(t_{i} + o_{i} > 0, 1L, 0L)").alias(f"d_{i}") for i in range(len(VIEWS))))
+    chain = F.expr(f"filter(array({', '.join(map(str, PREFIXES))}), k -> char_length(word) > k)")
+    steps = F.expr(
+        "concat(transform(ks, (k, i) -> struct(concat('<', left(word, k)) AS step, if(i = 0, '', concat('<', left(word, ks[i - 1]))) AS parent)),"
+        " array(struct(concat('=', word) AS step, if(size(ks) = 0, '', concat('<', left(word, ks[size(ks) - 1]))) AS parent)))")
+    sums = [F.sum(f"{c}_{i}").alias(f"{c}_{i}") for i in range(len(VIEWS)) for c in "tod"]
+    return stash(counted.withColumn("ks", chain).withColumn("s", F.explode(steps)).groupBy("s.step", "s.parent").agg(*sums), "toxic-steps")
+
+
+def discounts(steps: DataFrame, cutoff: int = CUTOFF) -> dict[str, str]:
+    """For each class and view, SQL for what a step's count gives to the backoff: all of a count up to the cut-off, else a
+    discount estimated from the counts of counts n1 to n4: k - (k + 1) * Y * n(k+1) / nk, Y = n1 / (n1 + 2 n2)."""
+    names = [f"{c}_{i}" for i in range(len(VIEWS)) for c in "to"]
+    n = steps.agg(*(F.count_if(F.col(c) == j).alias(f"{c}_{j}") for c in names for j in range(1, 5))).first()
+    out = {}
+    for c in names:
+        n1, n2, n3, n4 = (max(n[f"{c}_{j}"], 1) for j in range(1, 5))
+        y = n1 / (n1 + 2 * n2)
+        d = [min(max(k - (k + 1) * y * b / a, 0.1), k) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        out[c] = f"CASE WHEN {c} <= {cutoff} THEN cast({c} AS double) WHEN {c} = 1 THEN {d[0]!r}D WHEN {c} = 2 THEN {d[1]!r}D ELSE {d[2]!r}D END"
+    return out
+
+
+def step_ratios(steps: DataFrame, cutoff: int = CUTOFF) -> DataFrame:
+    """step and, for each view, ratio, p_toxic and p_ordinary: the probabilities of the step from its parent."""
+    taken = discounts(steps, cutoff)
+    views = range(len(VIEWS))
+    with_taken = steps.select("*", *(F.expr(x).alias(f"taken_{c}") for c, x in taken.items()))
+    below = with_taken.groupBy("parent").agg(*(F.sum(f"{c}_{i}").cast("double").alias(f"all_{c}_{i}") for i in views for c in "tod"), *(F.sum(f"taken_{c}").alias(f"left_{c}") for c in taken))
+    met = with_taken.join(below, "parent")
+    gain = lambda c, i: f"if({c}_{i} > 0, ln(1D + ({c}_{i} - taken_{c}_{i}) / (left_{c}_{i} * d_{i} / all_d_{i})), 0D)"
+    p = lambda c, i: f"if(all_d_{i} = 0, 0D, if(all_{c}_{i} = 0, d_{i} / all_d_{i}, ({c}_{i} - taken_{c}_{i} + left_{c}_{i} * d_{i} / all_d_{i}) / all_{c}_{i}))"
+    return met.select("step", "parent", *(F.expr(f"{gain('t', i)} - {gain('o', i)}").alias(f"ratio_{i}") for i in views), *(F.expr(p(c, i)).alias(f"{name}_{i}") for i in views for c, name in (("t", "p_toxic"), ("o", "p_ordinary"))))
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id AS string)) % 4 <> 2", per_class: int = PER_CLASS):
@@ -209,13 +210,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id A
     texts = docs.select("doc_id", "text")
     # a checked size: up to BROADCAST_IDS ids go to all executors, more meet the texts by a shuffle
     few = ids.count() <= BROADCAST_IDS
-    whole, *crossed = fit_nodes(*count_nodes(texts, F.broadcast(ids) if few else ids))
+    found = step_ratios(count_steps(texts, F.broadcast(ids) if few else ids))
+    names = [f"ratio_{i}" for i in range(len(VIEWS))]
+    weighty = found.filter(F.greatest(*(F.abs(n) for n in names)) > LEAST_RATIO)
+    got = weighty.select(F.xxhash64("step").alias("h"), *(F.col(n).cast("float").alias(n) for n in names)).toArrow()
+    order = np.argsort(got["h"].to_numpy())
+    steps, ratios = got["h"].to_numpy()[order], [got[n].to_numpy()[order] for n in names]
     context = docs.sparkSession.sparkContext
-    apart = context.broadcast(crossed)
+    crossed = context.broadcast((steps, ratios))
     held = F.broadcast(bounded(ids, "toxic", per_class, "true"))  # at most 2 * per_class ids
-    scored = texts.join(held, "doc_id").select("text", "fold", "toxic").mapInArrow(_cross(apart), "passage double, second double, whole double, toxic int").toPandas()
-    apart.unpersist()
-    return context.broadcast(whole), fit_curve(scored[["passage", "second", "whole"]].to_numpy(float), scored["toxic"].to_numpy(float))
+    scored = texts.join(held, "doc_id").select("text", "fold", "toxic").mapInArrow(_cross(crossed), "passage double, second double, whole double, toxic int").toPandas()
+    crossed.unpersist()
+    return context.broadcast(KneserNey(steps, ratios[0])), fit_curve(scored[["passage", "second", "whole"]].to_numpy(float), scored["toxic"].to_numpy(float))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id AS string)) % 4 <> 2", per_class: int = PER_CLASS) -> DataFrame:

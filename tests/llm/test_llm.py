@@ -127,7 +127,67 @@ def test_toxicity_counts_every_label(spark):
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
     # the cap is the curve's alone: 20 documents of a class hold some of the 10 words too seldom, all documents do not
     model, _ = toxicity.train(docs, labels, per_class=20)
-    assert min(map(model.value.ratio, vile)) > 2 and model.value.ratio("fine") < 0
+    assert model.value.ratio(vile).min() > 2 and model.value.ratio(["fine", "bafonovic"]).tolist()[0] < 0 < model.value.ratio(["bafonovic"])[0]
+
+
+def brute_steps(rows, cutoff):
+    """Kneser-Ney steps from the definition: counts by class, discounts from counts of counts, continuation counts."""
+    from math import log
+
+    count, below, up = Counter(), Counter(), {}
+    seen = set()
+    for text, toxic in rows:
+        for w in set(re.findall(r"[^\W_]+", text.lower())):
+            path, parent = ["<" + w[:k] for k in toxicity.PREFIXES if len(w) > k] + ["=" + w], ""
+            for step in path:
+                up[step], parent = parent, step
+                count[step, toxic] += 1
+                below[step] += w not in seen
+            seen.add(w)
+    out = {}
+    for c in (0, 1):
+        n = [max(sum(count[s, c] == j for s in up), 1) for j in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        d = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k) for k in (1, 2, 3)]
+        take = {s: count[s, c] if count[s, c] <= cutoff else d[min(count[s, c], 3) - 1] for s in up}
+        for s in up:
+            kin = [x for x in up if up[x] == up[s]]
+            total, left, share = sum(count[x, c] for x in kin), sum(take[x] for x in kin), below[s] / sum(below[x] for x in kin)
+            p = (count[s, c] - take[s] + left * share) / total if total else share
+            out.setdefault(s, []).extend((p, log(p / (left * share / total)) if count[s, c] else 0.0))
+    return out
+
+
+@pytest.mark.parametrize("cutoff", [0, 2])
+def test_kneser_ney_steps(spark, cutoff):
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choice(["abcdefgh", "abcdxyz", "abc", "ab", "abcq", "köln", "vile", "vileness", "x"][: 4 + 5 * (i % 2)]) for _ in range(r.randrange(1, 7))), i % 2) for i in range(60)]
+    texts = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    ids = spark.createDataFrame([(i, y, i % 3) for i, _, y in rows], "doc_id long, toxic int, fold int")
+    got = {x["step"]: x for x in toxicity.step_ratios(toxicity.count_steps(texts, ids), cutoff).collect()}
+    for view, part in [(0, rows)] + [(f + 1, [x for x in rows if x[0] % 3 != f]) for f in range(3)]:
+        want = brute_steps([(t, y) for _, t, y in part], cutoff)
+        for step, (p_o, gain_o, p_t, gain_t) in want.items():
+            assert np.allclose([got[step][f"p_ordinary_{view}"], got[step][f"p_toxic_{view}"], got[step][f"ratio_{view}"]], [p_o, p_t, gain_t - gain_o])
+        for parent in {x["parent"] for s, x in got.items() if s in want}:
+            for c in ("p_toxic", "p_ordinary"):
+                assert abs(sum(x[f"{c}_{view}"] for x in got.values() if x["parent"] == parent) - 1) < 1e-9
+    import xxhash
+
+    hashes = {x["step"]: x["h"] for x in spark.createDataFrame([(s,) for s in got], "step string").selectExpr("step", "xxhash64(step) AS h").collect()}
+    assert all(np.uint64(xxhash.xxh64_intdigest(s.encode(), 42)).view(np.int64) == h for s, h in hashes.items())
+
+
+def test_toxicity_long_and_non_latin(spark):
+    r = random.Random(5)
+    vile = ["мерзкий", "кошмарище", "гадкость"]
+    plain = [f"слово{i}" for i in range(300)]
+    text = lambda i: " ".join([*r.choices(plain, k=60), *([r.choice(vile)] * 2 if i % 3 == 0 else []), *r.choices(plain, k=60)])
+    long = lambda bad: " ".join([*r.choices(plain, k=40000), *(vile if bad else []), *r.choices(plain, k=40000)])
+    docs = spark.createDataFrame([(i, text(i)) for i in range(300)] + [(1001, long(True)), (1000, long(False))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = {x["doc_id"]: x["passage"] for x in toxicity.toxicity_scores(docs, labels).collect()}
+    assert got[1001] > 2 and got[1000] < 1
 
 
 def test_quality(spark, docs):
