@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,25 +56,29 @@ class KneserNey:
     steps: np.ndarray
     ratios: np.ndarray
 
-    def ratio(self, words: list[str]) -> np.ndarray:
-        """The ratio of each word, at least -FLOOR."""
+    def at(self, keys: list[str]) -> list[float]:
+        """The ratio of each step; 0 for one the model does not have."""
         import xxhash
 
-        keys, owner = [], []
-        for i, w in enumerate(words):
-            for k in PREFIXES:
-                if len(w) <= k:
-                    break
-                keys.append("<" + w[:k])
-                owner.append(i)
-            keys.append("=" + w)
-            owner.append(i)
         if not len(self.steps) or not keys:
-            return np.zeros(len(words))
-        h = np.fromiter((xxhash.xxh64_intdigest(k.encode(), 42) for k in keys), np.uint64, len(keys)).view(np.int64)
-        at = np.minimum(np.searchsorted(self.steps, h), len(self.steps) - 1)
-        found = np.where(self.steps[at] == h, self.ratios[at], 0.0)
-        return np.maximum(np.bincount(owner, weights=found, minlength=len(words)), -FLOOR)
+            return [0.0] * len(keys)
+        digest = xxhash.xxh64_intdigest
+        h = np.fromiter((digest(k, 42) for k in keys), np.uint64, len(keys)).view(np.int64)
+        place = np.minimum(np.searchsorted(self.steps, h), len(self.steps) - 1)
+        return np.where(self.steps[place] == h, self.ratios[place], 0.0).tolist()
+
+    def ratio(self, words: list[str], memo: dict | None = None) -> np.ndarray:
+        """The ratio of each word, at least -FLOOR; `memo` keeps the sums of the prefixes' ratios."""
+        memo = {} if memo is None else memo
+        own = self.at(["=" + w for w in words])
+        longest = [w[: next((k for k in reversed(PREFIXES) if len(w) > k), 0)] for w in words]
+        new = {p for p in longest if p and p not in memo}
+        if new:
+            steps = {p[:k] for p in new for k in PREFIXES if k <= len(p)}
+            value = dict(zip(steps, self.at(["<" + p for p in steps])))
+            memo.update((p, sum(value[p[:k]] for k in PREFIXES if k <= len(p))) for p in new)
+        memo[""] = 0.0
+        return np.maximum(np.array(own) + np.fromiter(map(memo.__getitem__, longest), float, len(longest)), -FLOOR)
 
 
 def features(ratios: np.ndarray, window: int = WINDOW) -> tuple[float, float, float]:
@@ -88,24 +93,36 @@ def features(ratios: np.ndarray, window: int = WINDOW) -> tuple[float, float, fl
 
 
 class _Scorer:
-    def __init__(self, model: KneserNey):
-        self.model, self.memo = model, {}
+    """Features of texts; words are looked up together, and remembered."""
 
-    def __call__(self, text: str) -> tuple[float, float, float]:
+    def __init__(self, model: KneserNey):
+        self.model, self.memo, self.prefixes = model, {}, {}
+
+    def __call__(self, texts) -> np.ndarray:
+        out, held, size = [], [], 0
+        for t in texts:
+            held.append(_WORD.findall(t.lower()))
+            size += len(held[-1])
+            if size > MEMO:
+                out += self._held(held)
+                held, size = [], 0
+        return np.array(out + self._held(held)).reshape(-1, 3)
+
+    def _held(self, held: list[list[str]]) -> list[tuple]:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        words = _WORD.findall(text.lower())
-        new = [w for w in set(words) if w not in memo]
-        memo.update(zip(new, self.model.ratio(new).tolist()))
-        return features(np.fromiter(map(memo.__getitem__, words), np.float64, len(words)))
+            self.prefixes.clear()
+        new = [w for w in set().union(*held) if w not in memo]
+        memo.update(zip(new, self.model.ratio(new, self.prefixes).tolist()))
+        return [features(np.fromiter(map(memo.__getitem__, words), np.float64, len(words))) for words in held]
 
 
 def _apply(model, curve):
     def run(batches):
         score = _Scorer(model.value)
         for b in batches:
-            x = np.array([score(t) for t in texts_of(b.column("text"))]).reshape(-1, 3)
+            x = score(texts_of(b.column("text")))
             p = curve_value(x, curve)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(x[:, k]) for k in range(3)), pa.array(p)], names=["doc_id", "passage", "second", "whole", "score"])
 
@@ -151,8 +168,10 @@ def _cross(models):
         steps, ratios = models.value
         scorers = [_Scorer(KneserNey(steps, ratios[f + 1])) for f in range(FOLDS)]
         for b in batches:
-            x = np.array([scorers[f](t) for f, t in zip(b.column("fold").to_pylist(), texts_of(b.column("text")))]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(3)), b.column("toxic")], names=["passage", "second", "whole", "toxic"])
+            for f in range(FOLDS):
+                part = b.filter(pc.equal(b.column("fold"), f))
+                x = scorers[f](texts_of(part.column("text")))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(3)), part.column("toxic")], names=["passage", "second", "whole", "toxic"])
 
     return run
 
@@ -234,7 +253,7 @@ def _judge(model, curve, schema, threshold):
     def run(batches):
         score = _Scorer(model.value)
         for b in batches:
-            x = np.array([score(t) for t in texts_of(b.column("text"))]).reshape(-1, 3)
+            x = score(texts_of(b.column("text")))
             yield b.filter(pa.array(curve_value(x, curve) < threshold))
 
     return run
