@@ -1,13 +1,19 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut into flat blocks at block-level tags. Each block is described by its own word count and link density, by
-those of the blocks before and after it, and by two marks of its surroundings (inside an article or main element; inside
-a menu, header, footer, sidebar, notice, advert, form or comment container). A small CART tree, grown here on the
-labelled table TRAINING, decides which blocks are main text.
+those of the blocks before and after it (each, and the greater density of both), by the longest block near it, and by its container: whether it is in an article or
+main element, and how much its container looks like boilerplate (3: by its element or role, such as nav or aside; 2: by a class
+or id made of words such as ad or comments; 1: by a class or id that only holds such a word, such as share-price). A CART
+tree, grown on the labelled table that the pages of htmlpages.py give, decides which blocks are main text. So words and
+links decide where containers do not: on pages without an article, in containers of mark 1, and for link lists in articles.
+
+In scripts written without spaces two letters count as a word.
 
 Defined results: null or empty html gives an empty text; character references are decoded, with or without the closing
 semicolon; white space inside a block becomes one space; repeated rows give the same text; other columns are not read.
-Whole pages are read, whatever their length, and no block is cut or capped.
+Scripts and styles reach to their end tag or the end of the page; a head without its end tag ends at the first element that
+does not belong to it, and any other silent element at the next block. Whole pages are read, whatever their length, and no
+block is cut or capped.
 """
 
 from __future__ import annotations
@@ -15,33 +21,17 @@ from __future__ import annotations
 import html as html_lib
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import texts_of
+from .htmlpages import labelled_pages
 
-FEATURES = ("words", "link_density", "prev_words", "prev_density", "next_words", "next_density", "in_article", "in_boilerplate", "page_has_article")
-
-#: The labelled table: the features of a block in the order of FEATURES, then 1 for main text.
-TRAINING = [
-    # inside an article: everything not in a boilerplate container is main text, be it short or full of links
-    *((w, d, pw, pd, nw, nd, 1, 0, 1, 1) for w, d, pw, pd, nw, nd in (
-        (1, 0.0, 0, 0.0, 12, 0.0), (1, 0.0, 60, 0.0, 2, 1.0), (2, 1.0, 40, 0.0, 30, 0.0), (9, 0.0, 5, 1.0, 80, 0.1), (14, 0.2, 3, 0.0, 0, 0.0), (35, 0.0, 20, 0.0, 3, 0.0),
-        (80, 0.05, 9, 0.0, 60, 0.0), (240, 0.0, 80, 0.0, 12, 0.4), (6, 0.5, 6, 0.5, 6, 0.5), (25, 0.9, 70, 0.0, 70, 0.0), (3, 0.0, 3, 0.0, 3, 0.0), (500, 0.0, 1, 1.0, 1, 1.0))),
-    # boilerplate containers, within an article or outside, with long and with short text
-    *((w, d, pw, pd, nw, nd, a, 1, h, 0) for w, d, pw, pd, nw, nd in (
-        (1, 1.0, 1, 1.0, 1, 1.0), (2, 1.0, 0, 0.0, 3, 1.0), (6, 0.0, 80, 0.0, 0, 0.0), (18, 0.0, 120, 0.0, 0, 0.0), (45, 0.0, 60, 0.0, 30, 0.0), (120, 0.0, 40, 0.0, 9, 0.1), (9, 0.3, 4, 1.0, 14, 0.0))
-      for a, h in ((1, 1), (0, 1), (0, 0))),
-    # outside the article of a page that has one
-    *((w, d, pw, pd, nw, nd, 0, 0, 1, 0) for w, d, pw, pd, nw, nd in (
-        (1, 1.0, 1, 1.0, 1, 1.0), (7, 0.0, 3, 1.0, 12, 0.0), (30, 0.0, 60, 0.0, 0, 0.0), (90, 0.1, 5, 0.0, 8, 0.0), (200, 0.0, 90, 0.0, 0, 0.0), (12, 0.6, 2, 1.0, 40, 0.0))),
-    # pages without an article element: long text of low link density, and short text beside it
-    *((w, d, pw, pd, nw, nd, 0, 0, 0, 1) for w, d, pw, pd, nw, nd in (
-        (12, 0.0, 0, 0.0, 60, 0.0), (17, 0.0, 30, 0.0, 40, 0.1), (40, 0.0, 12, 0.0, 80, 0.0), (60, 0.1, 40, 0.0, 2, 1.0), (120, 0.0, 1, 1.0, 90, 0.0), (300, 0.05, 2, 0.0, 1, 0.0), (25, 0.2, 80, 0.0, 90, 0.0), (8, 0.0, 90, 0.0, 70, 0.0), (3, 0.0, 50, 0.0, 60, 0.0), (6, 0.0, 3, 1.0, 45, 0.0), (20, 0.0, 0, 0.0, 0, 0.0))),
-    *((w, d, pw, pd, nw, nd, 0, 0, 0, 0) for w, d, pw, pd, nw, nd in (
-        (1, 1.0, 1, 1.0, 1, 1.0), (3, 1.0, 2, 1.0, 60, 0.0), (5, 0.8, 50, 0.0, 3, 1.0), (14, 0.9, 6, 1.0, 8, 0.9), (40, 0.7, 10, 1.0, 12, 1.0), (2, 0.0, 3, 1.0, 4, 1.0), (4, 0.0, 2, 0.0, 3, 0.5), (7, 0.0, 5, 0.5, 0, 0.0), (3, 0.0, 4, 0.0, 2, 0.0))),
-]
+FEATURES = ("words", "link_density", "prev_words", "prev_density", "next_words", "next_density", "near_words", "near_density", "beside_density", "in_article", "container", "page_has_article")
+#: Blocks on either side that count as near.
+NEAR = 3
 
 
 @dataclass
@@ -61,18 +51,18 @@ class Tree:
         return node.label
 
 
-def grow(rows: list[tuple], depth: int = 8) -> Tree:
-    """The tree of rows whose last value is the label; ties go to the first feature and the smallest cut."""
+def grow(rows: list[tuple], depth: int = 12, least: int = 4) -> Tree:
+    """The tree of rows whose last value is the label; ties go to the first feature and the smallest cut, leaves hold `least` rows."""
     ones, n = sum(r[-1] for r in rows), len(rows)
     leaf = Tree(label=int(2 * ones >= n))
-    if ones in (0, n) or not depth:
+    if ones in (0, n) or not depth or n < 2 * least:
         return leaf
     best = (2.0 * ones * (n - ones) / n - 1e-9, None)
     for f in range(len(rows[0]) - 1):
         ordered, left = sorted((r[f], r[-1]) for r in rows), 0
         for i in range(n - 1):
             left += ordered[i][1]
-            if ordered[i][0] != ordered[i + 1][0]:
+            if ordered[i][0] != ordered[i + 1][0] and least <= i + 1 <= n - least:
                 a, b, right = i + 1, n - i - 1, ones - left
                 gini = 2.0 * left * (a - left) / a + 2.0 * right * (b - right) / b
                 if gini < best[0] - 1e-12:
@@ -80,14 +70,16 @@ def grow(rows: list[tuple], depth: int = 8) -> Tree:
     if best[1] is None:
         return leaf
     f, cut = best[1]
-    return Tree(f, cut, grow([r for r in rows if r[f] <= cut], depth - 1), grow([r for r in rows if r[f] > cut], depth - 1))
+    return Tree(f, cut, grow([r for r in rows if r[f] <= cut], depth - 1, least), grow([r for r in rows if r[f] > cut], depth - 1, least))
 
 
-#: Elements whose content is never text, and elements that end a block.
-SILENT = {"script", "style", "noscript", "template", "iframe", "svg", "canvas", "object", "head", "select", "textarea", "button", "math", "audio", "video"}
-BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul caption".split())
+#: Raw text that reaches to the end tag or the end of the page; elements whose content is never text; elements that end a block.
+RAW = {"script", "style"}
+SILENT = {"template", "iframe", "svg", "canvas", "select", "textarea", "button", "audio", "video"}
+HEAD_PARTS = {"title", "meta", "link", "base", "script", "style", "noscript", "template"}
+BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul caption".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-#: Containers of boilerplate: by element, by role, and by words of class or id.
+#: Containers of boilerplate: by element, by role, and by words of class or id; words that say nothing beside those.
 BOILER_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 BOILER_WORDS = set(
@@ -95,123 +87,212 @@ BOILER_WORDS = set(
     " footer sidebar sidebars aside widget widgets comment comments commentlist reply replies respond discussion disqus cookie cookies consent gdpr notice notices notification popup modal overlay"
     " newsletter subscribe subscription signup login share sharing social related recommended pagination pager toolbar copyright disclaimer alert form search".split()
 )
+NEUTRAL_WORDS = set(
+    "site page main global primary secondary top bottom left right upper lower first second inner outer wrap wrapper container box block section area region bar list item items row col column group"
+    " content text body title link links button buttons btn icon icons post posts article articles story user users reader readers view item element module panel pane slot unit zone space holder"
+    " fixed sticky mobile desktop small large big mini js is has the and of for with".split()
+)
 #: Classes of a whole page say nothing about the text in it.
 WHOLE = {"html", "body", "article", "main"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+_ATTR = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: Letters of scripts written without spaces: Thai, Lao, Burmese, Khmer, kana and Chinese letters.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f]")
+
 
+def count_words(text: str) -> int:
+    """Words between white space; of letters of scripts without spaces two make a word."""
+    tokens = text.split()
+    letters = 0 if text.isascii() else len(_UNSPACED.findall(text))
+    return len(tokens) + (letters - 1) // 2 if letters else len(tokens)
 
-def _is_boiler(tag: str, attrs: str, in_article: bool) -> bool:
+
+def boilerplate_mark(tag: str, attrs: str, in_article: bool) -> int:
+    """0 to 3: how much an element looks like a container of boilerplate."""
     if tag in BOILER_TAGS and not (tag == "header" and in_article):
-        return True
+        return 3
+    mark = 0
     if tag in WHOLE or not attrs:
-        return False
+        return mark
     for name, value in _ATTR.findall(attrs):
         value = value.strip("\"'")
         if name.lower() == "role":
             if value.lower() in BOILER_ROLES:
-                return True
-        elif name.lower() != "hidden" and any(w in BOILER_WORDS for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-            return True
-    return False
+                return 3
+            continue
+        for token in value.split():
+            parts = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            if any(p in BOILER_WORDS for p in parts):
+                mark = max(mark, 2 if all(p in BOILER_WORDS or p in NEUTRAL_WORDS for p in parts) else 1)
+    return mark
 
 
 @dataclass
 class Block:
+    text: str
+    words: int
+    density: float
+    in_article: bool
+    container: int
+    label: bool  # inside an element with data-main, which labelled pages have
+
+
+@dataclass
+class _Open:
     parts: list = field(default_factory=list)
     links: list = field(default_factory=list)
-    in_article: bool = False
-    boiler: bool = False
 
 
-def blocks_of(page: str) -> list[tuple[str, int, float, bool, bool]]:
-    """(text, words, link density, in article, in boilerplate) of the flat blocks in page order."""
-    out, stack = [], []  # stack: (tag, in article, in boilerplate)
-    now, article, boiler, link = Block(), False, False, 0
+class _Cutter:
+    """Cuts a page into flat blocks, in one pass over its tags."""
 
-    def add(raw: str) -> None:
-        if raw:
-            now.parts.append(raw)
-            if link:
-                now.links.append(raw)
+    def __init__(self, page: str):
+        self.page, self.out, self.now = page, [], _Open()
+        self.stack: list[tuple] = []  # (tag, in article, container, label, its own mark's tag)
+        self.article, self.container, self.label, self.cause = False, 0, False, ""
+        self.link, self.quiet, self.in_head, self.unclosed = 0, "", False, set()
 
-    def flush() -> None:
-        nonlocal now
-        text = " ".join(html_lib.unescape("".join(now.parts)).split())
+    def add(self, raw: str) -> None:
+        if raw and not self.quiet and not self.in_head:
+            self.now.parts.append(raw)
+            if self.link:
+                self.now.links.append(raw)
+
+    def flush(self) -> None:
+        text = " ".join(html_lib.unescape("".join(self.now.parts)).split())
         if text:
-            words = len(text.split(" "))
-            linked = len(html_lib.unescape(" ".join(now.links)).split())
-            out.append((text, words, min(1.0, linked / words), article, boiler))
-        now = Block()
-
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        add(page[at : m.start()])
-        at = m.end()
-        if m[1] is not None:
-            add(m[1].replace("&", "&amp;"))
-        if m[3] is None:
-            continue
-        tag = m[3].lower()
-        if m[2]:
-            if tag in BLOCKS:
-                flush()
-            if tag == "a":
-                link = max(0, link - 1)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    article, boiler = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                    break
-            continue
-        if tag in SILENT:
-            if not m[4].rstrip().endswith("/"):
-                close = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body\b)", re.I).search(page, at)
-                at = close.end() if close else end
-            if tag == "head":
-                flush()
-            continue
+            words = max(count_words(text), 1)
+            self.out.append(Block(text, words, min(1.0, count_words(html_lib.unescape(" ".join(self.now.links))) / words), self.article, self.container, self.label))
+        self.now = _Open()
+
+    def restore(self) -> None:
+        self.article, self.container, self.label, self.cause = self.stack[-1][1:] if self.stack else (False, 0, False, "")
+
+    def skip_to(self, tag: str, at: int) -> int:
+        """The place after the end tag, or -1; an end tag that was not found is not looked for again."""
+        if tag in self.unclosed:
+            return -1
+        close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(self.page, at)
+        if close is None:
+            self.unclosed.add(tag)
+            return -1
+        return close.end()
+
+    def run(self) -> list[Block]:
+        at, end = 0, len(self.page)
+        while at < end:
+            m = _TOKEN.search(self.page, at)
+            if m is None:
+                self.add(self.page[at:])
+                break
+            self.add(self.page[at : m.start()])
+            at = m.end()
+            if m[1] is not None:
+                self.add(m[1].replace("&", "&amp;"))
+            if m[3] is not None:
+                at = (self.close if m[2] else self.open)(m[3].lower(), m[4], at)
+        self.flush()
+        return self.out
+
+    def close(self, tag: str, attrs: str, at: int) -> int:
+        if tag == self.quiet or tag in BLOCKS:
+            self.quiet = ""
+        if tag == "head":
+            self.in_head = False
+        if tag in BLOCKS:
+            self.flush()
+        if tag == "a":
+            self.link = max(0, self.link - 1)
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] == tag:
+                del self.stack[i:]
+                self.restore()
+                break
+        return at
+
+    def open(self, tag: str, attrs: str, at: int) -> int:
+        if self.in_head and tag not in HEAD_PARTS:
+            self.in_head = False
+        if tag in RAW:
+            close = self.skip_to(tag, at)
+            return close if close >= 0 else len(self.page)
+        if tag in SILENT or (tag == "title" and self.in_head):
+            if attrs.rstrip().endswith("/") and tag == "svg":
+                return at
+            close = self.skip_to(tag, at)
+            # another one of its kind before the end tag: the first was never closed, and only text up to the next block is its
+            if close >= 0 and not re.compile(rf"<{tag}[\s>]", re.I).search(self.page, at, close):
+                return close
+            self.quiet = tag
+            return at
+        if tag == "head":
+            self.in_head = True
+            return at
         if tag in BLOCKS:
-            flush()
-            link = 0 if tag not in ("li", "div", "span") else link
+            self.quiet = ""
+            self.flush()
+            self.link = 0 if tag not in ("li", "div") else self.link
         elif tag == "br":
-            add(" ")
+            self.add(" ")
         elif tag == "a":
-            link += 1
-        if tag not in VOID and tag not in ("a", "p", "b", "i", "em", "strong", "br", "li") or (tag in ("p", "li") and m[4].strip()):
-            while tag in ("p", "li") and stack and stack[-1][0] == tag:
-                stack.pop()
-                article, boiler = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            article, boiler = article or tag in ("article", "main"), boiler or _is_boiler(tag, m[4], article)
-            stack.append((tag, article, boiler))
-        elif tag in ("p", "li") and stack and stack[-1][0] == tag:
-            stack.pop()
-            article, boiler = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-    flush()
+            self.link += 1
+        if tag in ("p", "li", "dt", "dd"):
+            # these end where the next of their kind begins
+            kin = ("dt", "dd") if tag in ("dt", "dd") else (tag,)
+            if self.stack and self.stack[-1][0] in kin:
+                self.stack.pop()
+                self.restore()
+        if tag not in VOID and tag not in ("a", "b", "i", "em", "strong"):
+            if tag in ("article", "main") and self.cause in ("nav", "form", "header", "menu", "dialog"):
+                self.container, self.cause = 0, ""  # an article in a form, or after a menu that was never closed
+            mark = boilerplate_mark(tag, attrs, self.article)
+            if mark > self.container:
+                self.container, self.cause = mark, tag
+            self.article = self.article or tag in ("article", "main")
+            self.label = self.label or "data-main" in attrs
+            self.stack.append((tag, self.article, self.container, self.label, self.cause))
+        return at
+
+
+def blocks_of(page: str) -> list[Block]:
+    """The flat blocks of a page in page order."""
+    return _Cutter(page).run()
+
+
+def features(blocks: list[Block]) -> list[tuple]:
+    """The values of FEATURES of every block."""
+    has, none = int(any(b.in_article for b in blocks)), Block("", 0, 0.0, False, 0, False)
+    out = []
+    for i, b in enumerate(blocks):
+        before, after = (blocks[i - 1] if i else none), (blocks[i + 1] if i + 1 < len(blocks) else none)
+        near = max((x for x in blocks[max(i - NEAR, 0) : i + NEAR + 1] if x is not b), key=lambda x: x.words, default=none)
+        out.append((b.words, b.density, before.words, before.density, after.words, after.density, near.words, near.density, max(before.density, after.density), int(b.in_article), b.container, has))
     return out
 
 
+def labelled_table(pages: list[str]) -> list[tuple]:
+    """One row a block: its features and 1 for main text."""
+    rows = []
+    for page in pages:
+        blocks = blocks_of(page)
+        rows += [(*x, int(b.label)) for x, b in zip(features(blocks), blocks)]
+    return rows
+
+
+@lru_cache(maxsize=1)
+def default_tree() -> Tree:
+    return grow(labelled_table(labelled_pages()))
+
+
 def main_text(page: str, tree: Tree) -> str:
     """The main text of one page, its blocks joined by an empty line."""
-    found = blocks_of(page)
-    has = int(any(b[3] for b in found))
-    keep = []
-    for i, (text, words, density, article, boiler) in enumerate(found):
-        before, after = (found[i - 1] if i else None), (found[i + 1] if i + 1 < len(found) else None)
-        x = (words, density, before[1] if before else 0, before[2] if before else 0.0, after[1] if after else 0, after[2] if after else 0.0, int(article), int(boiler), has)
-        if tree.decide(x):
-            keep.append(text)
-    return "\n\n".join(keep)
-
-
-def _extract(training: list[tuple]):
+    blocks = blocks_of(page)
+    return "\n\n".join(b.text for b, x in zip(blocks, features(blocks)) if tree.decide(x))
+
+
+def _extract(tree: Tree):
     def run(batches):
-        tree = grow(training)
         for b in batches:
             texts = [main_text(t, tree) for t in texts_of(b.column("html"))]
             yield pa.RecordBatch.from_arrays(
@@ -220,6 +301,6 @@ def _extract(training: list[tuple]):
     return run
 
 
-def extract_pages(pages: DataFrame, training: list[tuple] | None = None) -> DataFrame:
+def extract_pages(pages: DataFrame, tree: Tree | None = None) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extract(training or TRAINING), "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(_extract(tree or default_tree()), "page_id long, url string, text string, n_chars long")
