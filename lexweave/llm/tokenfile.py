@@ -5,7 +5,7 @@ File format, all integers little-endian:
     frame 0 | frame 1 | ... | seek table | footer
 
 - a frame is one complete zstandard frame; decompressed it holds the ids of whole documents, one after another, each id an
-  unsigned integer of `width` bytes (2 or 4);
+  unsigned integer of `width` bytes (2 or 4, by default what the vocabulary needs; a wider id is an error);
 - the seek table is itself a zstandard frame of fixed records: for each frame its offset (u64), compressed size (u32),
   decompressed size (u64), crc32 of the compressed bytes (u32), first document's place in the file (u64), documents (u32);
   then for each document its id (i64; the smallest i64 stands for null) and number of ids (u64);
@@ -14,7 +14,8 @@ File format, all integers little-endian:
 
 A reader loads the footer and the table, then only the frames with the documents it wants, and checks each frame's crc32.
 Files are written beside their final name and renamed, so a lost executor leaves no half file under a final name.
-Document ids ascend within a file and from file to file; the manifest carries each file's first id number.
+Document ids ascend within a file and from file to file. Files are cut by ranges of (doc_id, a hash of the text), so rows
+that share one id, or have none, still spread over files; equal rows are interchangeable.
 
 Defined results: a null or empty text has only its end id; null doc_ids come first; repeated rows are written each; an
 empty table gives no files; other columns are not read.
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import new_path, texts_of
 from .tokens import encoder
@@ -53,13 +55,15 @@ def open_store(path: str):
 
 
 class TokenFileWriter:
-    def __init__(self, sink, width: int = 2, frame_bytes: int = FRAME_BYTES, level: int = 3):
+    def __init__(self, sink, width: int, frame_bytes: int = FRAME_BYTES, level: int = 3):
         import zstandard
 
         self.sink, self.width, self.limit, self.zstd = sink, width, frame_bytes, zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.frames, self.docs, self.held, self.held_docs, self.held_bytes, self.at, self.ids = [], [], [], 0, 0, 0, 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        if self.width < 4 and len(ids) and int(ids.max()) >= 1 << 8 * self.width:
+            raise ValueError(f"id {int(ids.max())} does not fit in {self.width} bytes")
         raw = ids.astype(f"<u{self.width}").tobytes()
         self.docs.append((NULL_ID if doc_id is None else doc_id, len(ids)))
         self.held.append(raw)
@@ -148,12 +152,20 @@ def _write(folder: str, tokenizer: str, kind: str, end_id: int, width: int, fram
     return run
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, kind: str = "byte", end_id: int = 0, width: int = 2, frame_bytes: int = FRAME_BYTES, folder: str | None = None, files: int | None = None) -> DataFrame:
+def width_of(tokenizer: str, end_id: int = 0) -> int:
+    """Bytes that hold every id of a vocabulary and the end id."""
+    from tokenizers import Tokenizer
+
+    return 2 if max([end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values()]) < 2**16 else 4
+
+
+def write_tokens(docs: DataFrame, tokenizer: str, kind: str = "byte", end_id: int = 0, width: int | None = None, frame_bytes: int = FRAME_BYTES, folder: str | None = None, files: int | None = None) -> DataFrame:
     """Write the files in ascending doc_id order; the manifest, one row a file, has path, n_docs and n_ids."""
     spark = docs.sparkSession
+    width = width or width_of(tokenizer, end_id)
     folder = folder or new_path(spark, "tokens")
     n = files or max(docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    by_id = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    by_id = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     made = by_id.mapInArrow(_write(folder, tokenizer, kind, end_id, width, frame_bytes), MANIFEST)
     made.write.parquet(f"{folder}/manifest")
     return spark.read.schema(made.schema).parquet(f"{folder}/manifest")

@@ -6,7 +6,8 @@ remembered; when the memo is full, the pieces not used of late are forgotten. Te
 pre-token, which the library's BPE model takes directly; other texts are cut only at plain white space, and texts with
 rarer white space are not cut, and both pass the library's whole tokenizer.
 
-Special tokens' strings in a text are ordinary text.
+Special tokens' strings in a text are ordinary text (the library's encode_special_tokens=True, as the tokenizers' own README
+uses them); with special_as_text=False a text that holds one goes through the whole tokenizer and gets that token's id there.
 """
 
 from __future__ import annotations
@@ -76,12 +77,14 @@ class _Memo(dict):
 class ChunkEncoder:
     """Little-endian unsigned 32-bit ids of texts."""
 
-    def __init__(self, path: str, kind: str, memo: int = MEMO):
+    def __init__(self, path: str, kind: str, memo: int = MEMO, special_as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
+        self.special = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.pieces, self.chunks, self.lower = _PIECES[kind].findall, _CHUNKS[kind].findall, kind == "word"
         self.letters, self.bpe, self.memo = _byte_letters(), self.tokenizer.model.tokenize, memo
         self.known, self.known_chunks = _Memo(self._piece, {}), _Memo(self._whole, {})
@@ -95,7 +98,7 @@ class ChunkEncoder:
         return array("I", [t.id for t in self.bpe(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if _RARE_SPACE.search(text):
+        if _RARE_SPACE.search(text) or self.special and self.special.search(text):
             return self._whole(text)
         if not text.isascii() and _BEYOND.search(text):
             if len(self.known_chunks) > self.memo // 4:

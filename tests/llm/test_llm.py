@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -36,10 +37,17 @@ def docs(spark, texts):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def ids(path, text, end):
+@lru_cache
+def library(path, special_as_text=True):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [end]
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = special_as_text
+    return t
+
+
+def ids(path, text, end, special_as_text=True):
+    return library(path, special_as_text).encode(text or "", add_special_tokens=False).ids + [end]
 
 
 def test_packing(docs, texts):
@@ -92,6 +100,44 @@ def test_token_files(spark, docs, texts, tmp_path):
     assert tokenfile.read_tokens(spark, tokenfile.write_tokens(docs.limit(0), BYTE, folder=f"file://{tmp_path}/e")).count() == 0
 
 
+def test_token_width(tmp_path):
+    import io
+
+    sink = io.BytesIO()
+    writer = tokenfile.TokenFileWriter(sink, 4)
+    writer.add(7, np.array([70000, 5], np.uint32))
+    writer.close()
+    assert [x.tolist() for _, x in tokenfile.TokenFileReader(sink, len(sink.getvalue()))] == [[70000, 5]]
+    with pytest.raises(ValueError):
+        tokenfile.TokenFileWriter(io.BytesIO(), 2).add(7, np.array([70000], np.uint32))
+    from tokenizers import Tokenizer, models
+
+    Tokenizer(models.WordLevel({"a": 0, "b": 70000}, unk_token="a")).save(str(tmp_path / "wide.json"))
+    assert tokenfile.width_of(str(tmp_path / "wide.json")) == 4 and tokenfile.width_of(BYTE) == 2 and tokenfile.width_of(BYTE, 2**16) == 4
+
+
+def test_token_files_hot_id(spark, tmp_path):
+    rows = [(None if i % 2 else 5, words(20, i)) for i in range(400)]
+    manifest = tokenfile.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), BYTE, folder=f"file://{tmp_path}/h", files=6)
+    assert manifest.count() >= 5 and manifest.agg({"n_docs": "max"}).first()[0] < 200
+    got = tokenfile.read_tokens(spark, manifest).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 200 + [5] * 200
+    assert Counter(r["ids_crc32"] for r in got) == Counter(zlib.crc32(np.array(ids(BYTE, t, 0), "<u4").tobytes()) for _, t in rows)
+
+
+def test_encoder_fuzz():
+    """The library's ids for whole texts, over letters of many kinds, rare white space, marks and digits."""
+    from lexweave.llm.tokens import ChunkEncoder
+
+    r = random.Random(11)
+    parts = ["don't", "THE", "über", "naïve", "x1y22", "…", "日本語", "\U0001f642\u200d", "\u00a0", "\u3000", "\t", "\n\n", "  ", " ", "é", "e\u0301", "ǅ", "½", "'s", "'LL", "[MASK]", "<|endoftext|>", "a_b", "--", "١٢", "ﬁ", "\x0b", "\x85", "İ", "ß", "#@!"]
+    for path, kind, as_text in ((WORD, "word", True), (BYTE, "byte", True), (WORD, "word", False), (BYTE, "byte", False)):
+        enc = ChunkEncoder(path, kind, 50, as_text)
+        for _ in range(300):
+            text = "".join(r.choice(parts) + r.choice(["", " ", "", "  "]) for _ in range(r.randrange(30)))
+            assert np.frombuffer(enc.encode(text), "<u4").tolist() == ids(path, text, 0, as_text)[:-1], text
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(docs).toPandas()
     assert len(got) == docs.count() and got.probability.between(0, 1).all()
@@ -237,6 +283,25 @@ def test_top_k(spark):
     assert topk.top_k(v.limit(0), v.limit(0), 5).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e3, 1e6, 1e9, 4e17])
+def test_top_k_large_components(spark, size):
+    r = np.random.default_rng(6)
+    rows = [(i, [int(v * size) for v in r.uniform(-1, 1, 64)]) for i in range(300)] + [(300 + i, [int(size)] * 64) for i in range(3)]
+    v = spark.createDataFrame(rows, "vec_id long, weights array<long>")
+    got = topk.top_k(v.filter("vec_id % 20 = 0"), v, 5, candidate_rows=100, query_rows=3).collect()
+    most = 2**63 - 1
+    for q, qv in rows:
+        if q % 20 == 0:
+            want = sorted((-max(-most, min(most, sum(a * b for a, b in zip(qv, cv)))), c) for c, cv in rows if c != q)[:5]
+            assert sorted((x["rank"], -x["score"], x["vec_id"]) for x in got if x["query_id"] == q) == [(k + 1, *w) for k, w in enumerate(want)]
+
+
+def test_top_k_saturates(spark):
+    v = topk.quantised(spark.createDataFrame([(0, [3e38, 1.0]), (1, [-3e38, 0.5]), (20, [1.0, 1.0])], "vec_id long, embedding array<float>"))
+    got = [tuple(x) for x in topk.top_k(v.filter("vec_id % 20 = 0"), v, 2).filter("query_id = 20").orderBy("rank").collect()]
+    assert [x[2] for x in got] == [0, 1] and got[0][3] == 2**63 - 1
+
+
 def brute_links(rows):
     sets = []
     for t in rows:
