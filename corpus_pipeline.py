@@ -1,7 +1,13 @@
 """The corpus pipeline: toxicity, quality rules, near duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet in the shared folder and
-rereads as the next stage's docs. All stages but the last return the columns of documents.
+rereads as the next stage's docs. All stages but the last return the columns of documents. The tables that a stage writes
+for itself are deleted when its result is written.
+
+Defined results: null and empty texts are not toxic, but have too few words for the quality rules and go there; rows with a
+null doc_id are judged like others; of a class of copies or near copies one row with its smallest id stays, whatever ids
+repeat or are null; exact repeats of a row are copies; ties in packing change sequence ids only; an empty table passes
+every stage empty; further columns pass through to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -9,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lexweave.llm import mixing, ngramjoin, packing, rules, toxicity
-from lexweave.llm.common import parquet, stash
+from lexweave.llm.common import parquet
 from lexweave.llm.queries import tokenizer
+from lexweave.plans.cut import new_path, scratch
 from lexweave.session import ship_package
 
 
@@ -46,5 +53,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = parquet(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_path(spark, f"stage-{name}")
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return docs

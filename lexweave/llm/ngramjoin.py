@@ -6,17 +6,19 @@ then compared a few at a time, and the pair is dropped once the posterior probab
 threshold falls below the tolerance. What is left is verified on the whole shingle sets.
 
 Bands with few nodes in a bucket give pairs of nodes. Buckets with more than `small` nodes are never listed as pairs: their
-nodes form cores (the components of crowded buckets), a core is dealt into tiles of bounded size, and each pair of tiles is
-one task that compares, prunes, verifies and returns per node its number of links, with a spanning forest of the links.
-So every link between different texts counts, and nothing grows with the square of a group but arithmetic.
+nodes form cores (the components of crowded buckets), and a core is dealt into tiles of bounded size. Each pair of tiles is
+first compared and pruned on signatures alone; only the texts with a partner left send their shingle sets to a second task,
+which verifies them and returns per node its number of links, with a spanning forest of the links. So every link between
+different texts counts, sets travel for likely links only, and nothing grows with the square of a group but arithmetic.
 
 Pruning compares one byte of each MinHash value, so two unequal values agree by chance in 1 of 256 cases; the posterior
 allows for it. Word hashes and shingles are 64-bit, set identities 128-bit. Candidates miss a pair at the threshold with a probability of
 (1 - t^rows)^bands, 5e-8 for t = 0.8; the tolerance of pruning is 1e-9.
 
 Defined results: null and empty texts have no shingles and are similar to one another only; ties and repeated rows are
-copies; a class is named by its smallest doc_id (null if it has none but null ids); an empty table gives no rows; other
-columns are not read.
+copies; a class is named by its smallest doc_id (null if it has none but null ids), so where one id stands on different
+texts, or ids are null, separate classes can have the same name: keep_one tells them apart and keeps a row of each; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -199,6 +201,31 @@ def common_counts(sets: list[np.ndarray], split: int) -> np.ndarray:
     return total
 
 
+def _survivors(least):
+    """The nodes of a pair of tiles that have a partner left after pruning."""
+
+    def run(table: pa.Table) -> pa.Table:
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        tile = table.column("tile").to_numpy()
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+        left, right = np.nonzero(tile == lo)[0], np.nonzero(tile == hi)[0]
+        stays, match = np.zeros(len(tile), bool), np.zeros((len(left), len(right)), np.int16)
+        for n, m in least.items():
+            for k in range(n - STEP, n):
+                match += sig[left, None, k] == sig[None, right, k]
+            open_pairs = match >= m
+            if lo == hi:
+                np.fill_diagonal(open_pairs, False)
+            if not open_pairs.any():
+                break
+        else:
+            stays[left[open_pairs.any(1)]] = True
+            stays[right[open_pairs.any(0)]] = True
+        return table.filter(pa.array(stays)).select(["core", "lo", "hi", "tile", "nid"])
+
+    return run
+
+
 def _tiles(threshold: float, least):
     first, rest = STEP, {n: m for n, m in least.items() if n > STEP}
 
@@ -208,7 +235,7 @@ def _tiles(threshold: float, least):
         ids, copies = table.column("nid").to_numpy(), table.column("copies").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
-        split = int((table.column("tile").to_numpy() == lo).sum())
+        split = int((table.column("tile").to_numpy() == lo).sum())  # sorted: tile lo first
         n, sizes = len(ids), np.array([len(s) for s in sets])
         right = np.arange(n) if lo == hi else np.arange(split, n)
         links, ends = np.zeros(n, np.int64), []
@@ -280,7 +307,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     ids = stash(wanted.select(F.col("first_id").alias("wanted_id")).distinct(), "wanted-ids")
     # a checked size: up to BROADCAST_IDS ids go to all executors, more are met by a shuffle
     few = ids.count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    known = ids.filter("wanted_id IS NOT NULL")
+    texts = docs.select("doc_id", "text").join(F.broadcast(known) if few else known, F.col("doc_id") == F.col("wanted_id"), "left_semi")
+    if not ids.filter("wanted_id IS NULL").isEmpty():
+        # rows without an id are no join key: they are read by a filter
+        texts = texts.unionByName(docs.select("doc_id", "text").filter("doc_id IS NULL"))
     sets = stash(texts.mapInArrow(_sets, "key binary, set binary").groupBy("key").agg(F.first("set").alias("set")).join(wanted, "key").withColumn("bytes", F.length("set")), "sets")
 
     side = lambda s: sets.select(F.col("nid").alias(s), F.col("set").alias(f"{s}_set"), F.col("copies").alias(f"{s}_copies"))
@@ -291,8 +322,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     tiling = sized.groupBy("core").agg(F.ceil(F.greatest(F.count("*") / F.lit(tile), F.sum("bytes") / F.lit(TILE_BYTES))).cast("int").alias("tiles"))
     salted = tiling.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     where = sized.withColumn("salt", F.expr(f"cast(pmod(xxhash64(nid, 1), {SALTS}) AS int)")).join(salted, ["core", "salt"]).select("nid", "core", "tiles")
-    placed = sets.join(where, "nid").withColumn("tile", F.expr("cast(pmod(xxhash64(nid), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    dealt = placed.select("core", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "nid", "copies", "set", "sig")
+    placed = sets.select("nid", "sig").join(where, "nid").withColumn("tile", F.expr("cast(pmod(xxhash64(nid), tiles) AS int)")).withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    compared = placed.select("core", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "nid", "sig")
+    likely = stash(compared.groupBy("core", "lo", "hi").applyInArrow(_survivors(least), "core long, lo int, hi int, tile int, nid long"), "likely")
+    dealt = likely.join(sets.select("nid", "copies", "set", "sig"), "nid")
     tiles = stash(dealt.groupBy("core", "lo", "hi").applyInArrow(_tiles(threshold, least), "nid long, links long, to long"), "tiles")
 
     counts = links.select(F.col("a").alias("nid"), F.col("b_copies").alias("links")).unionByName(links.select(F.col("b").alias("nid"), F.col("a_copies").alias("links"))).unionByName(tiles.select("nid", "links")).groupBy("nid").agg(F.sum("links").alias("links"))
@@ -322,13 +355,27 @@ def _keyed(schema_names):
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of every class, all columns as they were: a row with the class's smallest doc_id."""
+    """One row of every class, all columns as they were: a row with the class's smallest doc_id.
+
+    An id that stands on one row names that row, so such rows are kept or dropped by id alone. Only texts whose id repeats
+    or is null are shingled again, to tell their rows apart.
+    """
     from pyspark.sql import types as T
 
     signed, classes = near_duplicates(docs, threshold)
     both = signed.join(classes.select("key", "class_id", "group"), "key").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     chosen = stash(both.groupBy("group").agg(F.min(F.struct("key", "class_id")).alias("x")).select(F.col("x.key").alias("__chosen"), F.col("x.class_id").alias("__class_id")), "chosen")
-    keyed = docs.mapInArrow(_keyed(docs.columns), T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
+    per_id = signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    ids = stash(per_id.join(chosen.filter("__class_id IS NOT NULL").select(F.col("__class_id").alias("doc_id")).distinct().withColumn("wanted", F.lit(True)), "doc_id", "left"), "ids")
+    away = ids.filter("rows > 1 OR wanted IS NULL").select("doc_id")
+    again = ids.filter("rows > 1 AND wanted").select("doc_id")
+    # checked sizes: the ids that go, or that repeat, are sent to all executors up to BROADCAST_IDS, else met by a shuffle
+    met = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+    plain = docs.filter("doc_id IS NOT NULL").join(met(away), "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    unclear = docs.filter("doc_id IS NOT NULL").join(met(again), "doc_id", "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    if not chosen.filter("__class_id IS NULL").isEmpty():
+        unclear = unclear.unionByName(docs.filter("doc_id IS NULL"))
+    keyed = unclear.mapInArrow(_keyed(docs.columns), T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
     kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("__class_id")) & (F.col("__key") == F.col("__chosen")), "left_semi")
     # a key belongs to one class; exact copies with one id, or with none, are its rows
-    return kept.dropDuplicates(["__key"]).select(*(f"`{c}`" for c in docs.columns))
+    return plain.unionByName(kept.dropDuplicates(["__key"]).select(*(f"`{c}`" for c in docs.columns)))

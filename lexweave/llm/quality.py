@@ -125,7 +125,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id A
     sample = F.broadcast(taken[0].unionByName(taken[1]))  # at most 2 * per_class ids
     rows = docs.select("doc_id", "text").join(sample.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_featurise, "doc_id long, cols binary, vals binary").join(sample, "doc_id").orderBy(h, "doc_id").toArrow().to_pylist()
     data = [(np.frombuffer(r["cols"], np.int32), np.frombuffer(r["vals"], np.float32), int(r["quality"])) for r in rows]
-    machine = Machine().fit(data) if data else Machine()
+    machine = Machine()
+    if data:
+        machine.fit(data)
+    else:
+        machine.v[:] = 0.0  # untrained: every score is 0.5
     shares = {r["quality"]: r["n"] for r in ids.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     offset = float(np.log((shares.get(1, 0) + 1) / (shares.get(0, 0) + 1)))
     return docs.sparkSession.sparkContext.broadcast(machine), offset if data else 0.0

@@ -29,7 +29,7 @@ def op2_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(parquet(spark, d, "documents"))
+    return mixing.mix(parquet(spark, d, "documents")).withColumn("probability", F.round("probability", 6))
 
 
 def _judged(scores: DataFrame, held_out: str) -> DataFrame:
@@ -132,4 +132,4 @@ FROM judged
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": urlfilter.oracle(), "op7_exact_top_k": OP7_SQL, "op8_ngram_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op3_source_mixing": mixing.oracle(), "op5_url_filters": urlfilter.oracle(), "op7_exact_top_k": OP7_SQL, "op8_ngram_jaccard_join": OP8_SQL, "op10_quality_rules": OP10_SQL}

@@ -153,6 +153,57 @@ def test_mixing(spark, docs):
     assert mixing.sample(docs).columns == docs.columns and mixing.sample(docs.limit(0)).count() == 0
 
 
+def test_raking_by_shuffles(spark, monkeypatch):
+    """Both ways of raking give the same weights."""
+    cells = spark.createDataFrame([(s, l, t, 10 * (i + 1)) for i, (s, l, t) in enumerate((s, l, t) for s in "ab" for l in "xy" for t in "pq")], "source string, lang string, topic string, tokens long")
+    targets = {d: mixing.targets_of(cells, d, None, 0.5) for d in mixing.DIMS}
+    whole = {tuple(r)[:3]: r["weight"] for r in mixing.rake(cells, targets, 200.0, sweeps=2, close=0.0).collect()}
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", 0)
+    parts = {tuple(r)[:3]: r["weight"] for r in mixing.rake(cells, targets, 200.0, sweeps=2, close=0.0).collect()}
+    assert whole.keys() == parts.keys() and all(abs(whole[k] - parts[k]) < 1e-9 for k in whole)
+
+
+def test_mixing_trims_and_draws(spark):
+    """Cells too small for their targets, by NumPy; the sample is the draw of the ids; gaps say what is missing."""
+    import hashlib
+
+    r = random.Random(4)
+    rows = [(i, words(r.choice([30, 150, 1200]), i), r.choice(["en", "en", "en", "de"]), r.choice("aaab")) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": {"a": 1, "b": 3}, "lang": {"en": 1, "de": 2}}
+    got = mixing.mix(docs, targets, keep=0.5).toPandas()
+    topic = lambda n: "note" if n < 100 else "article" if n < 1000 else "longform"
+    cells = Counter()
+    for _, t, lang, source in rows:
+        cells[source, lang, topic(len(t.split()))] += len(t.split())
+    total = sum(cells.values())
+    tempered = {k: sum(v for c, v in cells.items() if c[2] == k) ** 0.8 for k in {c[2] for c in cells}}
+    want = [{"a": 0.25, "b": 0.75}, {"en": 1 / 3, "de": 2 / 3}, {k: v / sum(tempered.values()) for k, v in tempered.items()}]
+    weight = {c: float(v) for c, v in cells.items()}
+    for sweep in range(1, 101):
+        before = dict(weight)
+        for d in range(3):
+            sums = Counter()
+            for c, w in weight.items():
+                sums[c[d]] += w
+            weight = {c: w * want[d][c[d]] * 0.5 * total / sums[c[d]] for c, w in weight.items()}
+        weight = {c: min(w, cells[c]) for c, w in weight.items()}
+        if sweep % mixing.BLOCK == 0 and sum(abs(weight[c] - before[c]) for c in weight) <= 1e-3 * 0.5 * total:
+            break
+    taken = set()
+    for x in got.itertuples():
+        c = (x.source, x.lang, x.topic)
+        assert abs(x.probability - weight[c] / cells[c]) < 1e-9
+        u = int(hashlib.sha256(f"42:{x.doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+        assert x.copies == int(x.probability >= 1 or u < x.probability)
+        taken |= {x.doc_id} if x.copies else set()
+    assert {x["doc_id"] for x in mixing.sample(docs, targets, keep=0.5).collect()} == taken
+    _, weighed, wanted, budget = mixing.raked(mixing.celled(docs), targets, keep=0.5)
+    report = {(x["dim"], x["category"]): (x["target"], x["share"]) for x in mixing.gaps(weighed, wanted, budget).collect()}
+    assert report["source", "b"][0] == 0.75 and report["source", "b"][1] < 0.6
+    assert abs(sum(v[1] for k, v in report.items() if k[0] == "lang") * budget - sum(weight.values())) < 1e-6 * total
+
+
 def test_toxicity(spark, docs):
     rows = [(1000 + i, f"{words(40, i)} {'vileword' if i % 4 == 0 else 'fine'} {words(40, -i)}", "en", "s", None, None, None, None, None) for i in range(200)]
     all_docs = docs.unionByName(spark.createDataFrame(rows, SCHEMA))
@@ -241,7 +292,8 @@ def test_quality(spark, docs):
     labels = spark.createDataFrame([(1000 + i, int(i % 3 != 0), 0) for i in range(150)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r["score"] for r in quality.quality_scores(docs.unionByName(spark.createDataFrame(rows, SCHEMA)), labels).collect()}
     assert all((got[1000 + i] >= 0.5) == (i % 3 != 0) for i in range(150)) and all(0 <= v <= 1 for v in got.values())
-    assert {r["score"] for r in quality.quality_scores(docs, labels.limit(0)).collect()} != set()
+    assert {r["score"] for r in quality.quality_scores(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.quality_scores(docs.limit(0), labels).count() == 0
     m = quality.Machine()
     m.v[:] = np.random.default_rng(1).standard_normal(m.v.shape)
     cols, x = quality.text_features("a b c a")
@@ -431,6 +483,45 @@ def test_rules(docs, texts):
     assert rules.keep_good(docs, ()).count() == docs.count() and rules.keep_good(docs.limit(0)).count() == 0
 
 
+def test_rule_order():
+    costs = {"a": 1.0, "b": 1.0, "c": 4.0}
+    # b rejects what a does and little else: after a it is worth less than c
+    masks = {0b000: 40, 0b011: 30, 0b001: 5, 0b100: 22, 0b010: 3}
+    order = rules.greedy_order(costs, masks)
+    assert [x["name"] for x in order] == ["a", "c", "b"] and abs(order[1]["selectivity"] - 22 / 65) < 1e-9
+    best, left = 0.0, dict(masks)
+    for x in order:
+        k = list(costs).index(x["name"])
+        best += costs[x["name"]] * sum(left.values())
+        left = {m: n for m, n in left.items() if not m >> k & 1}
+    assert best == 100 + 4 * 65 + 43
+
+
+def test_pipeline_odd_rows(spark, texts, tmp_path):
+    """Null ids and texts, clashing names, one id on two texts, repeats and an empty table through every stage."""
+    import corpus_pipeline
+
+    good = [words(150, k) for k in range(6)]
+    rows = [(1, good[0]), (1, good[1]), (None, good[2]), (None, good[3]), (None, good[3]), (2, good[4]), (3, good[4] + " tail"), (4, None), (5, ""), (6, texts[6]), (7, good[5] + " vileword vileword"), (8, "few words")]
+    train = [(100 + i, f"{words(60, 50 + i)} {'vileword vileword' if i % 2 else 'fine fine'} {words(60, -i)}") for i in range(120)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None, "x", 1, "k", 2) for i, t in rows + train], SCHEMA)
+    labels = spark.createDataFrame([(100 + i, 1, i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.schema.names == docs.schema.names, name
+        seen = Counter((r["doc_id"], r["text"]) for r in now.collect())
+        if name == "toxicity":
+            assert (7, rows[10][1]) not in seen and sum(seen.values()) >= 11 + 50
+        if name == "quality_rules":
+            assert not {4, 5, 8} & {i for i, _ in seen} and seen[1, good[0]] == seen[1, good[1]] == 1 and seen[None, good[3]] == 2
+        if name == "near_duplicates":
+            assert [seen[k] for k in ((1, good[0]), (1, good[1]), (None, good[2]), (None, good[3]), (2, good[4]), (3, good[4] + " tail"))] == [1, 1, 1, 1, 1, 0]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
