@@ -181,6 +181,65 @@ def merge_directions(relations: DataFrame) -> DataFrame:
                     F.when(F.col("eq"), "equivalent").when(F.col("down") & F.col("up"), "related").when(F.col("down") | F.col("up"), "is_subordinate").otherwise("related").alias("relation"))
 
 
+# fixed values: the levels of each type of node, and the fields only some types may have
+NODE_LEVELS = {"DocumentNode": ("document",), "TocNode": ("part", "chapter", "section"), "ProvisionNode": ("article", "paragraph", "item", "sub_item", "segment", "appendix"), "ConceptNode": ("concept",)}
+NODE_FIELDS = {
+    "DocumentNode": ("category", "status", "issuer", "publish_date", "effective_date", "source_url"), "TocNode": (), "ProvisionNode": ("text",), "ConceptNode": ("description",),
+}
+
+
+def invalid_nodes(nodes: DataFrame) -> DataFrame:
+    """(id, reason) of nodes that break the schema: unknown_type, wrong_level, or foreign_field (a field filled that is not the
+    type's); a node is listed once for each reason. Columns that nodes does not have are not checked."""
+    known = F.lit(False)
+    for kind, levels in NODE_LEVELS.items():
+        known = known | ((F.col("type") == kind) & F.col("level").isin(*levels))
+    foreign = F.lit(False)
+    for field in sorted({f for fields in NODE_FIELDS.values() for f in fields} & set(nodes.columns)):
+        owners_of = [k for k, fields in NODE_FIELDS.items() if field in fields]
+        foreign = foreign | ((F.coalesce(F.col(field), F.lit("")) != "") & ~F.col("type").isin(*owners_of))
+    has_type = F.coalesce(F.col("type").isin(*NODE_LEVELS), F.lit(False))
+    reasons = F.array(F.when(~has_type, "unknown_type"), F.when(has_type & ~F.coalesce(known, F.lit(False)), "wrong_level"), F.when(has_type & foreign, "foreign_field"))
+    return nodes.select("id", F.explode(F.array_compact(reasons)).alias("reason"))
+
+
+def structural_type(parent_level, child_level, rules: list[tuple[str, str, str]]):
+    """The edge type that the rules (parent level, child level, type) give a pair of levels; null where they give none."""
+    out = F.lit(None).cast("string")
+    for a, b, kind in rules:
+        out = F.when((parent_level == a) & (child_level == b), F.lit(kind)).otherwise(out)
+    return out
+
+
+def invalid_edges_by_rules(nodes: DataFrame, edges: DataFrame, rules: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """(source, target, type, reason) of edges that no rule allows; a rule is (type, source type, source level, target type,
+    target level), where * fits anything."""
+    n = nodes.select("id", "type", "level")
+    end = lambda name: n.select(F.col("id").alias(name), F.col("type").alias(f"{name}_type"), F.col("level").alias(f"{name}_level"))
+    met = edges.select("source", "target", "type").join(end("source"), "source", "left").join(end("target"), "target", "left")
+    fits = F.lit(False)
+    for rule in rules:
+        one = F.lit(True)
+        for column, want in zip(("type", "source_type", "source_level", "target_type", "target_level"), rule):
+            if want != "*":
+                one = one & (F.col(column) == want)
+        fits = fits | one
+    reason = F.when(F.col("source_type").isNull(), "no_source").when(F.col("target_type").isNull(), "no_target").when(~F.coalesce(fits, F.lit(False)), "not_allowed")
+    return met.select("source", "target", "type", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def missing_vectors(concepts: DataFrame, vectors: DataFrame) -> DataFrame:
+    """id of the concepts without a vector, which similarity would leave out in silence."""
+    return concepts.select("id").distinct().join(vectors.filter("size(vector) > 0").select("id").distinct(), "id", "left_anti")
+
+
+def whole_target_candidates(candidates: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The candidates (id, source_node_id, target_node_ids, ...) whose source and all targets are nodes."""
+    ids = nodes.select("id").distinct()
+    lost = candidates.select(F.col("id").alias("c"), F.explode("target_node_ids").alias("id")).join(ids, "id", "left_anti").select(F.col("c").alias("id")).distinct()
+    return candidates.join(ids.withColumnRenamed("id", "source_node_id"), "source_node_id", "left_semi").join(lost, "id", "left_anti").select(candidates.columns)
+
+
 def invalid_edges(nodes: DataFrame, edges: DataFrame, rules: DataFrame) -> DataFrame:
     """edges with the reason they break the schema; rules is (type, source_level, target_level), a small fixed table."""
     n = nodes.select("id", "level")

@@ -37,6 +37,28 @@ def latest(df: DataFrame, title: str, *order) -> DataFrame:
     return named.unionByName(df.filter(t.isNull() | (t == "")))
 
 
+def superseded(df: DataFrame, title: str, *order) -> DataFrame:
+    """The rows that latest() drops."""
+    t = F.trim(F.col(title))
+    ranked = df.filter(t != "").withColumn("__rank", F.row_number().over(Window.partitionBy(t).orderBy(*order)))
+    return ranked.filter("__rank > 1").drop("__rank")
+
+
+def fill_split(df: DataFrame, group: str, fractions: tuple[float, float] = (0.8, 0.1), seed: int = 42) -> DataFrame:
+    """df with split: whole groups fill train, then dev, up to their fractions of all rows, the rest is test.
+
+    Groups come in the order of a hash; a group goes where the rows before it end, so a fraction is passed by less than one
+    group. Running counts are added up by ranges of the hash, so no task sorts all groups."""
+    u = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string")), 256), 1, 8), 16, 10).cast("long")
+    sizes = df.groupBy(group).agg(F.count("*").alias("n")).withColumn("u", u).withColumn("part", (F.col("u") / F.lit(2**22)).cast("int"))
+    within = F.sum("n").over(Window.partitionBy("part").orderBy("u", group)) - F.col("n")
+    parts = sizes.groupBy("part").agg(F.sum("n").alias("pn"))  # 1,024 ranges of the hash
+    before = parts.withColumn("start", F.sum("pn").over(Window.orderBy("part")) - F.col("pn")).withColumn("all", F.sum("pn").over(Window.partitionBy()))
+    at = (within + F.col("start")) / F.col("all")
+    placed = sizes.join(F.broadcast(before), "part").select(F.col(group).alias("__g"), F.when(at < fractions[0], "train").when(at < sum(fractions), "dev").otherwise("test").alias("split"))
+    return df.join(placed, F.col(group).eqNullSafe(F.col("__g")), "left").drop("__g")
+
+
 def binary_metrics(df: DataFrame, gold: str, predicted) -> DataFrame:
     """One row of counts, accuracy, precision, recall and F1; a division by zero is 0."""
     g, p = F.col(gold), predicted

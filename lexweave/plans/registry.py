@@ -535,3 +535,6 @@ def s23_sharded_sink(t):
 def s6_scope_filter(t):
     m = t("customer").select(F.col("c_custkey").cast("string").alias("source_id"), F.col("c_mktsegment").alias("category"), F.col("c_nationkey").cast("string").alias("status"))
     return store.in_scope(m, category=["BUILDING", "MACHINERY"], status_except=["1", "2"])
+
+
+from lexweave.plans import graph_queries  # noqa: E402,F401  (registers its queries here)
