@@ -15,8 +15,9 @@ def type_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def weighted_counts(results: DataFrame) -> DataFrame:
     """(label, category, n, weight): rows of results (label, target_categories) by label and category, a row counting once for
     each category and weighing the number of its targets there."""
-    each = results.select(F.monotonically_increasing_id().alias("row"), "label", F.explode("target_categories").alias("category"))
-    return each.groupBy("label", "category").agg(F.count_distinct("row").alias("n"), F.count("*").alias("weight"))
+    all_of = F.col("target_categories")
+    each = results.select("label", F.explode(F.transform(F.array_distinct(all_of), lambda c: F.struct(c.alias("category"), F.size(F.filter(all_of, lambda x: x.eqNullSafe(c))).cast("long").alias("w")))).alias("x"))
+    return each.groupBy("label", F.col("x.category").alias("category")).agg(F.count("*").alias("n"), F.sum("x.w").alias("weight"))
 
 
 def judge_counts(pairs: DataFrame, least: int = 7) -> DataFrame:

@@ -118,9 +118,9 @@ def a1_type_counts(t):
     return counts.type_counts(nodes(t), edges(t))
 
 
-@query("""WITH x AS (SELECT l_orderkey, CASE l_orderkey % 2 WHEN 0 THEN 'REFERENCES' ELSE 'INTERPRETS' END AS label, l_shipmode AS category FROM lineitem) SELECT label, category, count(DISTINCT l_orderkey) AS n, count(*) AS weight FROM x GROUP BY ALL""")
+@query("""WITH x AS (SELECT l_orderkey, CASE l_orderkey % 2 WHEN 0 THEN 'REFERENCES' ELSE 'INTERPRETS' END AS label, l_returnflag AS category FROM lineitem) SELECT label, category, count(DISTINCT l_orderkey) AS n, count(*) AS weight FROM x GROUP BY ALL""")
 def a4_weighted_counts(t):
-    r = t("lineitem").groupBy("l_orderkey").agg(F.collect_list("l_shipmode").alias("target_categories")).withColumn("label", F.expr("if(l_orderkey % 2 = 0, 'REFERENCES', 'INTERPRETS')"))
+    r = t("lineitem").groupBy("l_orderkey").agg(F.collect_list("l_returnflag").alias("target_categories")).withColumn("label", F.expr("if(l_orderkey % 2 = 0, 'REFERENCES', 'INTERPRETS')"))
     return counts.weighted_counts(r)
 
 
@@ -145,9 +145,9 @@ def a25_completed_sources(t):
     return counts.completed_sources(t("lineitem").select(F.col("l_orderkey").alias("source_id"), (F.col("l_linestatus") == "F").alias("done"), (F.col("l_returnflag") == "R").alias("failed")))
 
 
-@query("SELECT l_shipmode AS hint, count(*) FILTER (l_shipmode = l_instr) AS matched, count(*) AS total, round(greatest(count(*) FILTER (l_shipmode = l_instr) / count(*), 0.3), 6) AS precision FROM (SELECT l_shipmode, CASE WHEN l_quantity > 30 THEN l_shipmode ELSE 'x' END AS l_instr FROM lineitem) GROUP BY 1")
+@query("SELECT l_returnflag AS hint, count(*) FILTER (l_returnflag = l_instr) AS matched, count(*) AS total, round(greatest(count(*) FILTER (l_returnflag = l_instr) / count(*), 0.3), 6) AS precision FROM (SELECT l_returnflag, CASE WHEN l_quantity > 30 THEN l_returnflag ELSE 'x' END AS l_instr FROM lineitem) GROUP BY 1")
 def a29_hint_precision(t):
-    return counts.hint_precision(t("lineitem").selectExpr("l_shipmode AS hint", "if(l_quantity > 30, l_shipmode, 'x') AS label"), 0.3).withColumn("precision", F.round("precision", 6))
+    return counts.hint_precision(t("lineitem").selectExpr("l_returnflag AS hint", "if(l_quantity > 30, l_returnflag, 'x') AS label"), 0.3).withColumn("precision", F.round("precision", 6))
 
 
 @query("SELECT l_returnflag AS gold, count(*) FILTER (l_linestatus = 'O') AS O, count(*) FILTER (l_linestatus = 'F') AS F, (SELECT round(count(*) FILTER (l_returnflag = l_linestatus) / count(*), 6) FROM lineitem) AS accuracy FROM lineitem GROUP BY 1")
@@ -155,7 +155,7 @@ def a32_confusion(t):
     return counts.confusion(t("lineitem"), "l_returnflag", "l_linestatus", ["O", "F"]).withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("""WITH b AS (SELECT DISTINCT o_orderdate AS batch FROM orders), n AS (SELECT o_orderdate AS batch, o_orderstatus AS label, count(*) AS n FROM orders GROUP BY ALL), f AS (SELECT batch, label, target, coalesce(n, 0) AS n FROM b, (VALUES ('O', 60), ('F', 900), ('Z', 5)) t(label, target) LEFT JOIN n USING (batch, label))
+@query("""WITH b AS (SELECT DISTINCT o_orderdate AS batch FROM orders), n AS (SELECT o_orderdate AS batch, o_orderstatus AS label, count(*) AS n FROM orders GROUP BY ALL), f AS (SELECT batch, label, target, coalesce(n, 0) AS n FROM b CROSS JOIN (VALUES ('O', 60), ('F', 900), ('Z', 5)) t(label, target) LEFT JOIN n USING (batch, label))
  SELECT strftime(batch, '%Y-%m-%d') AS batch, label, n, CAST(sum(n) OVER w AS BIGINT) AS total, CAST(greatest(target - sum(n) OVER w, 0) AS BIGINT) AS deficit FROM f WINDOW w AS (PARTITION BY label ORDER BY batch)""")
 def a28_deficits(t):
     return counts.deficits(t("orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("batch"), F.col("o_orderstatus").alias("label")), {"O": 60, "F": 900, "Z": 5})
@@ -175,8 +175,8 @@ def w1_superseded(t):
     return ranking.superseded(t("orders").withColumn("title", F.concat(F.lit(" "), F.col("o_custkey").cast("string"))), "title", F.desc("o_orderdate"), F.desc("o_orderkey")).select("o_orderkey")
 
 
-@query("""WITH g AS (SELECT o_custkey AS g, count(*) AS n, CAST('0x' || substr(sha256('42:' || o_custkey), 1, 8) AS BIGINT) AS u FROM orders GROUP BY 1), a AS (SELECT g, (sum(n) OVER (ORDER BY u, g) - n) / sum(n) OVER () AS at FROM g)
- SELECT o_orderkey, CASE WHEN at < 0.8 THEN 'train' WHEN at < 0.9 THEN 'dev' ELSE 'test' END AS split FROM orders JOIN a ON g = o_custkey""")
+@query("""WITH g AS (SELECT o_custkey AS g, count(*) AS n, CAST('0x' || substr(sha256('42:' || o_custkey), 1, 8) AS BIGINT) AS u FROM orders GROUP BY 1), a AS (SELECT g, (sum(n) OVER (ORDER BY u, g) - n) / sum(n) OVER () AS pos FROM g)
+ SELECT o_orderkey, CASE WHEN pos < 0.8 THEN 'train' WHEN pos < 0.9 THEN 'dev' ELSE 'test' END AS split FROM orders JOIN a ON g = o_custkey""")
 def w15_fill_split(t):
     return ranking.fill_split(t("orders"), "o_custkey").select("o_orderkey", "split")
 
@@ -193,9 +193,9 @@ def j26_concept_ancestors(t):
     return concepts.concept_ancestors(rel("l_suppkey div 3").unionByName(rel("l_suppkey * 7 % 40")))
 
 
-@query(f"WITH RECURSIVE {GRAPH} SELECT DISTINCT 'k' || o_shippriority || o_orderpriority AS concept, CASE level WHEN 'document' THEN 'document' ELSE 'structure' END AS kind, ancestor AS context FROM orders JOIN self ON node = 'o:' || o_orderkey JOIN nodes ON id = ancestor WHERE level IN ('document', 'chapter')")
+@query(f"WITH RECURSIVE {GRAPH} SELECT DISTINCT 'k' || o_orderstatus || o_orderpriority AS concept, CASE level WHEN 'document' THEN 'document' ELSE 'structure' END AS kind, ancestor AS context FROM orders JOIN self ON node = 'o:' || o_orderkey JOIN nodes ON id = ancestor WHERE level IN ('document', 'chapter')")
 def j28_contexts(t):
-    roots = t("orders").select(F.concat(F.lit("k"), "o_shippriority", "o_orderpriority").alias("concept"), F.concat(F.lit("o:"), "o_orderkey").alias("root"))
+    roots = t("orders").select(F.concat(F.lit("k"), "o_orderstatus", "o_orderpriority").alias("concept"), F.concat(F.lit("o:"), "o_orderkey").alias("root"))
     return concepts.contexts(edges(t), nodes(t), roots)
 
 
@@ -206,8 +206,8 @@ def j25_apart(t):
     return concepts.apart(t("lineitem").select(F.col("l_suppkey").alias("left"), (F.col("l_partkey") % 60).alias("right")).distinct(), ctx, "structure")
 
 
-@query(f"""WITH RECURSIVE {GRAPH}, at AS (SELECT node, ancestor FROM self JOIN nodes ON id = ancestor WHERE level = 'chapter'), x AS (SELECT 'o:' || o_orderkey AS s, 'c:' || (o_orderkey % 150) AS t FROM orders)
- SELECT least(a.ancestor, b.ancestor) AS "left", greatest(a.ancestor, b.ancestor) AS "right", count(*) AS n FROM x JOIN at a ON a.node = s JOIN at b ON b.node = t WHERE a.ancestor <> b.ancestor GROUP BY ALL""")
+@query(f"""WITH RECURSIVE {GRAPH}, lifted AS (SELECT node, ancestor FROM self JOIN nodes ON id = ancestor WHERE level = 'chapter'), x AS (SELECT 'o:' || o_orderkey AS s, 'c:' || (o_orderkey % 150) AS t FROM orders)
+ SELECT least(a.ancestor, b.ancestor) AS "left", greatest(a.ancestor, b.ancestor) AS "right", count(*) AS n FROM x JOIN lifted a ON a.node = s JOIN lifted b ON b.node = t WHERE a.ancestor <> b.ancestor GROUP BY ALL""")
 def j29_bridges(t):
     more = t("orders").selectExpr("concat('o:', o_orderkey) AS source", "concat('c:', o_orderkey % 150) AS target", "'REFERENCES' AS type")
     return concepts.bridges(edges(t).unionByName(more), nodes(t), ("REFERENCES", "INTERPRETS"), "chapter")
@@ -348,9 +348,9 @@ def p7_category_rank(t):
     return t("part").select("p_partkey", category.category(given).alias("category"), locator.category_rank(category.category(given)).alias("rank"))
 
 
-@query(f"SELECT p_partkey, '第' || {_numeral_sql('p_partkey')} || '条之' || {_numeral_sql('(p_size % 9 + 1)')} AS label, lpad(CAST(p_partkey AS VARCHAR), greatest(4, length(CAST(p_partkey AS VARCHAR))), '0') || '-' || lpad(CAST(p_size % 9 + 1 AS VARCHAR), 2, '0') AS key FROM (SELECT CAST(p_partkey AS BIGINT) AS p_partkey, CAST(p_size AS BIGINT) AS p_size FROM part)")
+@query(f"SELECT p_partkey, '第' || {_numeral_sql('p_partkey')} || '条之' || {_numeral_sql('(p_size % 9 + 1)')} AS label, lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(4, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') || '-' || lpad(CAST(p_size % 9 + 1 AS VARCHAR), 2, '0') AS key FROM (SELECT CAST(p_partkey + 1 AS BIGINT) AS p_partkey, CAST(p_size AS BIGINT) AS p_size FROM part)")
 def f5_article_key(t):
-    n = t("part").selectExpr("p_partkey", "cast(p_partkey AS bigint) AS a", "cast(p_size % 9 + 1 AS bigint) AS b").withColumn("label", F.concat(F.lit("第"), numerals.to_chinese("a"), F.lit("条之"), numerals.to_chinese("b")))
+    n = t("part").selectExpr("p_partkey + 1 AS p_partkey", "cast(p_partkey + 1 AS bigint) AS a", "cast(p_size % 9 + 1 AS bigint) AS b").withColumn("label", F.concat(F.lit("第"), numerals.to_chinese("a"), F.lit("条之"), numerals.to_chinese("b")))
     return n.select("p_partkey", "label", numerals.article_key("label").alias("key"))
 
 
