@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexweave.plans.cut import stash
+
 BLOCK = 2048
 
 
@@ -52,9 +54,13 @@ FOUND = "left_id long, right_id long, similarity double"
 def similarity_join(left: DataFrame, right: DataFrame, least: float = 0.85, k: int | None = None, triangular: bool = False, with_self: bool = False) -> DataFrame:
     """(left_id, right_id, similarity) of the pairs of (id, vector) with cosine >= least; with k, each left's best k.
 
-    Blocks of vectors of one dimension meet by equality of the dimension; ties go to the smaller right_id.
+    Blocks are dealt into the rows and columns of a grid and meet by equality of dimension, row and column, each pair once, so no
+    task is dealt all blocks; ties go to the smaller right_id.
     """
-    cells = _packed(left, "l").join(_packed(right, "r"), "dim")
+    ls, rs = stash(_packed(left, "l"), "left-blocks"), stash(_packed(right, "r"), "right-blocks")
+    rows, columns = max(ls.count(), 1), max(rs.count(), 1)
+    dealt = lambda df, ids, own, n, other, m: df.withColumn(own, F.expr(f"cast(pmod(xxhash64({ids}), {n}) AS int)")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    cells = dealt(ls, "l_ids", "row", rows, "column", columns).join(dealt(rs, "r_ids", "column", columns, "row", rows).hint("merge"), ["dim", "row", "column"])
     found = cells.mapInArrow(_match(k, least, triangular, with_self), FOUND)
     return found if k is None else top_per(found, ["left_id"], [F.desc(F.round("similarity", 9)), F.asc("right_id")], k)
 
