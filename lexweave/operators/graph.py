@@ -146,20 +146,33 @@ def remap(edges: DataFrame, mapping: DataFrame) -> DataFrame:
     return edges.filter("source <> target").select("source", "target", "type").distinct()
 
 
-def adamic_adar(links: DataFrame) -> DataFrame:
+def hub_pairs(links: DataFrame, hub: str, keep: list[str], tile: int = 2048) -> DataFrame:
+    """(left, right, *keep): every pair left < right of nodes with a common hub, once a hub; links is (node, hub, *keep), distinct.
+
+    A hub's nodes are dealt into groups of about `tile`, and two groups at a time meet in one key, so a hub of any degree
+    spreads over many tasks; a node is copied once for each group of its hub."""
+    groups = links.groupBy(hub).agg(F.ceil(F.count("*") / F.lit(float(tile))).cast("int").alias("__n"))
+    dealt = links.join(groups, hub).withColumn("__g", F.pmod(F.xxhash64("node"), F.col("__n")).cast("int"))
+    each = dealt.withColumn("__x", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    each = each.withColumns({"__lo": F.least("__g", "__x"), "__hi": F.greatest("__g", "__x")})
+    key = [hub, "__lo", "__hi"]
+    a = each.select(*key, F.col("node").alias("left"), F.col("__g").alias("__a"), *keep)
+    b = each.select(*key, F.col("node").alias("right"), F.col("__g").alias("__b"))
+    return a.join(b, key).filter("left < right AND (__lo = __hi OR __a <> __b)").select("left", "right", *keep)
+
+
+def adamic_adar(links: DataFrame, tile: int = 2048) -> DataFrame:
     """(left, right, score): 1 - exp(-sum of 1 / ln(degree)) over common neighbours of degree above 1; links is (node, hub)."""
-    links = links.distinct()
+    links = links.select("node", "hub").distinct()
     weight = links.groupBy("hub").agg(F.count("*").alias("degree")).filter("degree > 1").select("hub", (1 / F.log(F.col("degree").cast("double"))).alias("w"))
-    a = links.join(weight, "hub")
-    raw = a.select("hub", F.col("node").alias("left"), "w").join(links.select("hub", F.col("node").alias("right")), "hub").filter("left < right")
-    return raw.groupBy("left", "right").agg((1 - F.exp(-F.sum("w"))).alias("score"))
+    return hub_pairs(links.join(weight, "hub"), "hub", ["w"], tile).groupBy("left", "right").agg((1 - F.exp(-F.sum("w"))).alias("score"))
 
 
-def common_ratio(sets: DataFrame) -> DataFrame:
+def common_ratio(sets: DataFrame, tile: int = 2048) -> DataFrame:
     """(left, right, score): common members over the larger set; sets is (node, member)."""
-    sets = sets.distinct()
+    sets = sets.select("node", "member").distinct()
     n = sets.groupBy("node").agg(F.count("*").alias("n"))
-    both = sets.select("member", F.col("node").alias("left")).join(sets.select("member", F.col("node").alias("right")), "member").filter("left < right").groupBy("left", "right").agg(F.count("*").alias("both"))
+    both = hub_pairs(sets, "member", [], tile).groupBy("left", "right").agg(F.count("*").alias("both"))
     l, r = n.select(F.col("node").alias("left"), F.col("n").alias("ln")), n.select(F.col("node").alias("right"), F.col("n").alias("rn"))
     return both.join(l, "left").join(r, "right").select("left", "right", (F.col("both") / F.greatest("ln", "rn")).alias("score"))
 

@@ -537,4 +537,4 @@ def s6_scope_filter(t):
     return store.in_scope(m, category=["BUILDING", "MACHINERY"], status_except=["1", "2"])
 
 
-from lexweave.plans import graph_queries  # noqa: E402,F401  (registers its queries here)
+from lexweave.plans import graph_queries, provision_queries  # noqa: E402,F401  (they register their queries here)

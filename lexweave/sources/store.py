@@ -81,3 +81,37 @@ def parse_judgments(df: DataFrame, xml: str = "xml") -> DataFrame:
     """title, case_no, court and the cited provisions of judgment documents, by XPath."""
     one = lambda p: F.xpath_string(F.col(xml), F.lit(p))
     return df.select("id", one("/doc/title").alias("title"), one("/doc/case_no").alias("case_no"), one("/doc/court").alias("court"), F.xpath(F.col(xml), F.lit("/doc/citation/text()")).alias("citations"))
+
+
+def validate_scope(source_ids=(), everything: bool = False, category=(), category_except=(), status=(), status_except=()) -> None:
+    """ValueError unless just one of ids, everything and filters chooses the scope, and no filter asks for what its other half
+    excludes."""
+    chosen = sum(map(bool, (source_ids, everything, category or category_except or status or status_except)))
+    if chosen != 1:
+        raise ValueError("choose a scope by one of source ids, everything, or filters")
+    for name, wanted, excluded in (("category", category, category_except), ("status", status, status_except)):
+        both = sorted(set(wanted) & set(excluded))
+        if both:
+            raise ValueError(f"{name} is wanted and excluded: {', '.join(both)}")
+
+
+def is_materialized(units: DataFrame, results: DataFrame, key: str) -> bool:
+    """Whether every unit of a table has a row of results; a table without units is."""
+    return units.select(key).distinct().join(results.select(key).distinct(), key, "left_anti").isEmpty()
+
+
+def page(rows: DataFrame, order: list, number: int, size: int) -> DataFrame:
+    """The page of a number (from 1) of rows in an order, which should end in a key."""
+    return rows.orderBy(*order).offset((number - 1) * size).limit(size)
+
+
+def matching(rows: DataFrame, columns: list[str], pattern: str, **equal) -> DataFrame:
+    """The rows whose columns equal the given values (None: not asked) and of which one column holds the pattern, in any case."""
+    for name, value in equal.items():
+        if value is not None:
+            rows = rows.filter(F.col(name) == value)
+    word = "%" + pattern.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_") + "%"
+    hit = F.lit(False)
+    for name in columns:
+        hit = hit | F.coalesce(F.col(name).ilike(word), F.lit(False))
+    return rows.filter(hit) if pattern else rows
