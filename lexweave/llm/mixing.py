@@ -29,7 +29,7 @@ from .common import WORD_SPLIT, stash
 
 DIMS = ("source", "lang", "topic")
 TEMPER, KEEP, SWEEPS, CLOSE, SEED = 0.8, 0.8, 100, 1e-3, 42
-#: Sweeps in one plan; cells that one task rakes in memory, more are raked by shuffles.
+#: Sweeps between two looks at the residual; cells that one task rakes in memory, more are raked by shuffles.
 BLOCK, ONE_TASK_CELLS = 5, 500_000
 
 #: Topic of a text by its form, over {n} words: SQL a caller can replace.
@@ -67,33 +67,32 @@ def targets_of(cells: DataFrame, dim: str, given: dict[str, float] | None, tempe
 def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, repeat: bool = False, sweeps: int = SWEEPS, close: float = CLOSE) -> DataFrame:
     """cells (dims, tokens) with weight: the calibrated tokens of each cell.
 
-    Up to ONE_TASK_CELLS cells are one partition, whose windows shuffle nothing, and BLOCK sweeps are one plan and one written
-    table. More cells take a join a marginal and a table a sweep, so no marginal's cells meet in one task.
+    Up to ONE_TASK_CELLS cells are one partition, whose windows shuffle nothing; a sweep is one plan and one written table, as
+    every window of a plan holds its own sort buffer until the task ends. More cells take a join a marginal, so no marginal's
+    cells meet in one task.
     """
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMS:
         now = now.join(targets[d].withColumnRenamed("target", f"{d}_target"), d)
     now = stash(now, "cells")
     one_task = now.count() <= ONE_TASK_CELLS
-    block = BLOCK if one_task else 1
-    for done in range(0, sweeps, block):
+    check = BLOCK if one_task else 1
+    for sweep in range(1, sweeps + 1):
         was = now
-        now = now.coalesce(1) if one_task else now
-        for _ in range(min(block, sweeps - done)):
-            now = now.withColumn("before", F.col("weight"))
-            for d in DIMS:
-                if one_task:
-                    now = now.withColumn("total", F.sum("weight").over(Window.partitionBy(d)))
-                else:
-                    now = now.join(now.groupBy(d).agg(F.sum("weight").alias("total")), d)
-                now = now.withColumn("weight", F.when(F.col("total") > 0, F.col("weight") * F.col(f"{d}_target") * F.lit(float(budget)) / F.col("total")).otherwise(0.0)).drop("total")
-            if not repeat:
-                now = now.withColumn("weight", F.least("weight", F.col("tokens").cast("double")))
+        now = (now.coalesce(1) if one_task else now).withColumn("before", F.col("weight"))
+        for d in DIMS:
+            if one_task:
+                now = now.withColumn("total", F.sum("weight").over(Window.partitionBy(d)))
+            else:
+                now = now.join(now.groupBy(d).agg(F.sum("weight").alias("total")), d)
+            now = now.withColumn("weight", F.when(F.col("total") > 0, F.col("weight") * F.col(f"{d}_target") * F.lit(float(budget)) / F.col("total")).otherwise(0.0)).drop("total")
+        if not repeat:
+            now = now.withColumn("weight", F.least("weight", F.col("tokens").cast("double")))
         now = stash(now, "cells")
         drop(was)
-        moved = now.agg(F.sum(F.abs(F.col("weight") - F.col("before"))).alias("moved")).first()["moved"]
+        moved = now.agg(F.sum(F.abs(F.col("weight") - F.col("before"))).alias("moved")).first()["moved"] if sweep % check == 0 else None
         now = _written(now.drop("before"), now)
-        if (moved or 0.0) <= close * budget:
+        if sweep % check == 0 and (moved or 0.0) <= close * budget:
             break
     return now.select(*DIMS, "tokens", "weight")
 
