@@ -77,16 +77,20 @@ def tail_label(c, suffix: str) -> Column:
 def aliases(c) -> Column:
     """(alias, title) of every 《title》（以下简称alias）: close to the title first, then up to 40 letters on. Patterns apply
     in turn and the last definition of an alias wins, so of two titles in one sentence the earlier one gets it."""
+    # a text is searched once for each pattern; a match read alone has the same groups, as no pattern looks beyond its match
+    groups = lambda p: lambda m: F.struct(F.regexp_extract(m, p, 2).alias("alias"), F.regexp_extract(m, p, 1).alias("title"))
     found = []
     for gap in (r"\s*", r"[^。；;\n]{0,40}?"):
         for word in ("以下简称", "简称"):
             for left, right, inner in (("（", "）", "[^）]"), (r"\(", r"\)", "[^)]")):
-                p = F.lit(f"(?U)《([^》]+)》{gap}{left}{word}({inner}{{1,20}}){right}")
-                found.append(F.arrays_zip(F.regexp_extract_all(c, p, F.lit(2)).alias("alias"), F.regexp_extract_all(c, p, F.lit(1)).alias("title")))
+                p = f"(?U)《([^》]+)》{gap}{left}{word}({inner}{{1,20}}){right}"
+                found.append(F.transform(F.regexp_extract_all(c, F.lit(p), F.lit(0)), groups(p)))
     strip = lambda x: F.regexp_replace(x, "^[“”\"'《》()（） ]+|[“”\"'《》()（） ]+$", "")
     named = F.transform(F.concat(*found), lambda x: F.struct(strip(x["alias"]).alias("alias"), F.concat(F.lit("《"), F.trim(x["title"]), F.lit("》")).alias("title")))
     pairs = F.filter(named, lambda x: x["alias"] != "")
-    return F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda y: y["alias"] == x["alias"]))
+    last = lambda p: F.filter(p, lambda x, i: ~F.exists(F.slice(p, i + 2, F.greatest(F.size(p), F.lit(1))), lambda y: y["alias"] == x["alias"]))
+    # bound as a variable: written into the inner function, all patterns would run again for every pair
+    return F.transform(F.array(pairs), last)[0]
 
 
 def embedding_text(name, description) -> Column:

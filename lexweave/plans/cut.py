@@ -39,6 +39,12 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by its keys over as many tasks as a shuffle has. Rows that cost much each must not be left to the few tasks
+    that read a small or undivided file."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete stashed tables that later written tables have replaced; other DataFrames are left alone."""
     for df in tables:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexweave.functions import labels, numerals, statute, text, vectors
 from lexweave.operators import graph, ranking, similarity
 from lexweave.operators.components import connected_components
+from lexweave.plans.cut import spread
 from lexweave.session import ship_package
 from lexweave.sources import store
 
@@ -436,7 +437,7 @@ def f19_tail_label(t):
 def f18_aliases(t):
     n = F.col("p_partkey")
     body = F.concat(F.lit("《甲》（以下简称丙"), n, F.lit("）。《乙"), n, F.lit("》（以下简称丙"), n, F.lit("）"))
-    return t("part").select("p_partkey", F.explode(statute.aliases(body)).alias("x")).select("p_partkey", "x.alias", "x.title")
+    return spread(t("part").select("p_partkey"), "p_partkey").select("p_partkey", F.explode(statute.aliases(body)).alias("x")).select("p_partkey", "x.alias", "x.title")
 
 
 @query("SELECT p_partkey, p_name || chr(10) || p_size AS body FROM part")

@@ -41,3 +41,9 @@ def test_labels_and_aliases(spark):
     # without an end mark between them, the looser pattern comes last and starts at the earlier title
     assert one(spark, "《甲》和《乙》（以下简称法）", statute.aliases(F.col("s"))) == [("法", "《甲》")]
     assert one(spark, "无", statute.aliases(F.col("s"))) == []
+
+
+def test_aliases_search_a_text_once(spark):
+    plan = spark.createDataFrame([("《甲》（以下简称法）",)], "s string").select(statute.aliases(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") <= 16  # it was 96: all patterns again for every pair
+    assert spark.sql("SELECT cast(null AS string) AS s").select(statute.aliases(F.col("s")).alias("x")).first()["x"] is None
