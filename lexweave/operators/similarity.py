@@ -12,57 +12,91 @@ from lexweave.plans.cut import stash
 BLOCK = 2048
 
 
+#: Rows of a written file of blocks, so that a split of the table holds whole files and tasks are many.
+FILE_ROWS = 8192
+
+
 def _pack(batches):
     for b in batches:
-        for lo in range(0, b.num_rows, BLOCK):
-            p = b.slice(lo, BLOCK)
+        sizes = np.array([len(v) for v in b.column("vector").to_pylist()])
+        for at in (x[lo : lo + BLOCK] for d in np.unique(sizes) for x in [np.flatnonzero(sizes == d)] for lo in range(0, len(x), BLOCK)):
+            p = b.take(pa.array(at))
             v = np.array(p.column("vector").to_pylist(), np.float64).reshape(p.num_rows, -1)
             n = np.linalg.norm(v, axis=1)
             v = v / np.where(n == 0, 1, n)[:, None]
-            yield pa.RecordBatch.from_arrays([pa.array([v.shape[1]], pa.int32()), pa.array([p.column("id").to_numpy(zero_copy_only=False).astype(np.int64).tobytes()]), pa.array([v.tobytes()])], names=["dim", "ids", "matrix"])
+            ids = p.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([v.shape[1]], pa.int32()), pa.array([ids.min()]), pa.array([ids.max()]), pa.array([ids.tobytes()]), pa.array([v.tobytes()])], names=["dim", "low", "high", "ids", "matrix"])
 
 
 def _packed(df: DataFrame, side: str) -> DataFrame:
-    return df.select("id", "vector").filter("id IS NOT NULL AND size(vector) > 0").mapInArrow(_pack, "dim int, ids binary, matrix binary").select("dim", F.col("ids").alias(f"{side}_ids"), F.col("matrix").alias(f"{side}_matrix"))
+    rows = df.select("id", "vector").filter("id IS NOT NULL AND size(vector) > 0")
+    dealt = rows.repartitionByRange(max(1, -(-rows.count() // FILE_ROWS)), "id")
+    blocks = dealt.mapInArrow(_pack, "dim int, low long, high long, ids binary, matrix binary")
+    return blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns))
+
+
+def _best(own: np.ndarray, found: list[tuple], k: int) -> tuple:
+    """Of (row, right id, similarity) arrays the k best of each row by similarity to 9 places and right id, and each row's least of k."""
+    i, j, s = (np.concatenate(x) for x in zip(*found))
+    key = np.round(s, 9)
+    order = np.lexsort((j, -key, i))
+    i, j, s, key = i[order], j[order], s[order], key[order]
+    rank = np.arange(len(i)) - np.searchsorted(i, i)
+    least = np.full(len(own), -np.inf)
+    least[i[rank == k - 1]] = key[rank == k - 1]
+    return (i[rank < k], j[rank < k], s[rank < k]), least
 
 
 def _match(k: int | None, least: float, triangular: bool, with_self: bool):
     def run(batches):
+        at, li, best, cut = None, None, None, None
+        rows = lambda i, j, s: pa.RecordBatch.from_arrays([pa.array(li[i]), pa.array(j), pa.array(s), pa.array(np.round(s, 9))], names=["left_id", "right_id", "similarity", "key"])
         for b in batches:
-            for r in b.to_pylist():
-                li, ri = (np.frombuffer(r[f"{s}_ids"], np.int64) for s in "lr")
-                lv, rv = (np.frombuffer(r[f"{s}_matrix"], np.float64).reshape(-1, r["dim"]) for s in "lr")
+            for r in (b.slice(x, 1).to_pylist()[0] for x in range(b.num_rows)):
+                if at != r["l_ids"]:  # the rows of a task come left block by left block
+                    if best is not None:
+                        yield rows(*best)
+                    at, li, best, cut = r["l_ids"], np.frombuffer(r["l_ids"], np.int64), None, None
+                    lv = np.frombuffer(r["l_matrix"], np.float64).reshape(-1, r["l_dim"])
+                ri, rv = np.frombuffer(r["r_ids"], np.int64), np.frombuffer(r["r_matrix"], np.float64).reshape(-1, r["l_dim"])
                 s = lv @ rv.T
                 ok = s >= least
                 if triangular:
                     ok &= li[:, None] < ri
                 elif not with_self:
                     ok &= li[:, None] != ri
-                if k is not None and s.shape[1] > k:
+                if k is not None and cut is not None:
+                    ok &= s >= cut[:, None] - 2e-9
+                elif k is not None and s.shape[1] > k:
                     masked = np.where(ok, s, -2.0)
-                    cut = np.partition(masked, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-                    ok &= masked >= cut[:, None] - 1e-12
+                    ok &= masked >= np.partition(masked, s.shape[1] - k, axis=1)[:, s.shape[1] - k][:, None] - 2e-9
                 i, j = np.nonzero(ok)
-                yield pa.RecordBatch.from_arrays([pa.array(li[i]), pa.array(ri[j]), pa.array(s[i, j])], names=["left_id", "right_id", "similarity"])
+                if k is None:
+                    yield rows(i, ri[j], s[i, j])
+                else:
+                    best, cut = _best(li, [*([] if best is None else [best]), (i, ri[j], s[i, j])], k)
+        if best is not None:
+            yield rows(*best)
 
     return run
 
 
-FOUND = "left_id long, right_id long, similarity double"
+FOUND = "left_id long, right_id long, similarity double, key double"
 
 
 def similarity_join(left: DataFrame, right: DataFrame, least: float = 0.85, k: int | None = None, triangular: bool = False, with_self: bool = False) -> DataFrame:
     """(left_id, right_id, similarity) of the pairs of (id, vector) with cosine >= least; with k, each left's best k.
 
-    Blocks are dealt into the rows and columns of a grid and meet by equality of dimension, row and column, each pair once, so no
-    task is dealt all blocks; ties go to the smaller right_id.
+    The written blocks meet as splits of two tables, every left split with every right one: a task reads its two, so blocks
+    are copied by no shuffle and a task holds one right split. With k a task keeps the best of a left block over its whole
+    right split. Triangular pairs of blocks whose ids can't fit are left out. Ties, to 9 places, go to the smaller right_id.
     """
     ls, rs = stash(_packed(left, "l"), "left-blocks"), stash(_packed(right, "r"), "right-blocks")
-    rows, columns = max(ls.count(), 1), max(rs.count(), 1)
-    dealt = lambda df, ids, own, n, other, m: df.withColumn(own, F.expr(f"cast(pmod(xxhash64({ids}), {n}) AS int)")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    cells = dealt(ls, "l_ids", "row", rows, "column", columns).join(dealt(rs, "r_ids", "column", columns, "row", rows).hint("merge"), ["dim", "row", "column"])
-    found = cells.mapInArrow(_match(k, least, triangular, with_self), FOUND)
-    return found if k is None else top_per(found, ["left_id"], [F.desc(F.round("similarity", 9)), F.asc("right_id")], k)
+    fits = F.col("l_dim") == F.col("r_dim")
+    cells = ls.join(rs.hint("shuffle_replicate_nl"), fits & (F.col("l_low") < F.col("r_high")) if triangular else fits)
+    found = cells.select("l_dim", "l_ids", "l_matrix", "r_ids", "r_matrix").mapInArrow(_match(k, least, triangular, with_self), FOUND)
+    best = found if k is None else top_per(found, ["left_id"], [F.desc("key"), F.asc("right_id")], k)
+    return best.drop("key")
 
 
 def top_per(df: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:
