@@ -60,3 +60,24 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["n"] for r in spark.sql("select * from counts").collect()) == [1, 2]
+
+
+def test_similarity_in_many_blocks(spark, monkeypatch):
+    import random
+
+    r = random.Random(3)
+    rows = [(i, [float(r.choice([0, 1, 2])) for _ in range(4)] + [1.0]) for i in r.sample(range(1000), 90)] + [(2000, [1.0])]
+    v = spark.createDataFrame(rows, "id long, vector array<double>")
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+    near = {i: sorted((-round(cos(a, b), 9), j) for j, b in rows if i != j and len(a) == len(b)) for i, a in rows}
+    monkeypatch.setattr(similarity, "FILE_ROWS", 16)
+    monkeypatch.setattr(similarity, "BLOCK", 8)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 30)
+    try:
+        best = similarity.similarity_join(v, v, -1.0, k=3)
+        plan = best._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and plan.count("Exchange") == 1  # blocks are copied by no shuffle; the best of rows meet in one
+        assert {(x["left_id"], x["right_id"]) for x in best.collect()} == {(i, j) for i, n in near.items() for _, j in n[:3]}
+        assert {(x["left_id"], x["right_id"]) for x in similarity.similarity_join(v, v, 0.9037, triangular=True).collect()} == {(i, j) for i, n in near.items() for s, j in n if i < j and -s >= 0.9037}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
