@@ -126,3 +126,38 @@ def test_outline_without_headings(spark):
     assert got == [(1, "paragraph", "甲", None), (3, "chapter", "第一章 总则", None), (4, "paragraph", "和附则", 3), (5, "paragraph", "1. 乙", 3), (6, "article", "第一条 丙", 3)]
     empty = provisions.outline(d.filter("place < 0"))
     assert empty.count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_resolve_broadcasts_nothing_that_grows(spark):
+    n = spark.range(40).selectExpr("concat('d', id) AS document_id", "concat('《', id, '》') AS title", "id")
+    paths = n.select("document_id", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("article")).selectExpr("document_id", "concat(document_id, ':', article) AS node_id", "cast(article AS bigint) AS article", *(f"0L AS {x}" for x in references.PATH[1:]))
+    s = n.selectExpr("id", "'x' AS document_id", "'' AS title", "concat('依照', title, '第三条至第五条、第九条') AS sentence", "0 AS article", "0 AS suffix")
+    got = provisions.resolve(provisions.detect(s), n, paths)
+    assert "Broadcast" not in plan_of(got)
+    assert {(r["id"], r["node_id"]) for r in got.collect()} == {(i, f"d{i}:{a}") for i in range(40) for a in (3, 4, 5, 9)}
+
+
+def test_ranges_below_articles(spark):
+    paths = spark.createDataFrame([("d", f"{a}:{p}:{i}", a, 0, p, i, 0) for a in (1, 2) for p in (0, 1, 2, 3) for i in (0, 1, 2, 3)], "document_id string, node_id string, article long, suffix long, paragraph long, item long, sub_item long")
+    titles = spark.createDataFrame([("《甲》", "d")], "title string, document_id string")
+    s = spark.createDataFrame([(1, "x", "", "《甲》第一条第二款至第一条第三款", None, None), (2, "x", "", "《甲》第二条第一款第一项至第二条第一款第三项", None, None), (3, "x", "", "《甲》第一条至第二条", None, None)], "id int, document_id string, title string, sentence string, article long, suffix long")
+    got = {(r["id"], r["node_id"]) for r in provisions.resolve(provisions.detect(s), titles, paths).collect()}
+    assert got == {(1, "1:2:0"), (1, "1:3:0"), (2, "2:1:1"), (2, "2:1:2"), (2, "2:1:3"), (3, "1:0:0"), (3, "2:0:0")}
+
+
+def test_pairs_of_hubs_are_shuffled_once(spark, monkeypatch):
+    r = random.Random(4)
+    rows = sorted({(r.randint(0, 30), r.choice([0, 0, 1, 2, 3])) for _ in range(120)})
+    links = spark.createDataFrame(rows, "node int, member int")
+    monkeypatch.setattr(graph, "PAIRS", 20)  # tasks grow in number, not in size
+    of = {a: {h for b, h in rows if b == a} for a, _ in rows}
+    want = {(a, b): round(len(of[a] & of[b]) / max(len(of[a]), len(of[b])), 9) for a in of for b in of if a < b and of[a] & of[b]}
+    for tile in (3, 2048):
+        got = graph.common_ratio(links, tile)
+        plan = plan_of(got)
+        assert plan[:plan.index("REPARTITION_BY_NUM")].count("Exchange") == 1  # nothing above but the one shuffle of pairs, as arrays
+        assert {(x["left"], x["right"]): round(x["score"], 9) for x in got.collect()} == want
