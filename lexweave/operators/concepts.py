@@ -11,6 +11,9 @@ from lexweave.plans.cut import drop, stash
 # fixed values: the levels that are a concept's structural context
 STRUCTURE = ("part", "chapter", "section")
 
+#: Contexts of a concept that meet as one set, about.
+CONTEXTS = 4096
+
 
 def concept_ancestors(relations: DataFrame) -> DataFrame:
     """(node, ancestor): everything above a concept over is_subordinate (left under right), whatever the number of parents;
@@ -35,10 +38,16 @@ def contexts(edges: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def apart(pairs: DataFrame, concept_contexts: DataFrame, kind: str) -> DataFrame:
-    """The pairs (left, right, ...) that share no context of a kind."""
-    one = concept_contexts.filter(F.col("kind") == kind)
-    left, right = one.select(F.col("concept").alias("left"), "context"), one.select(F.col("concept").alias("right"), "context")
-    shared = pairs.select("left", "right").distinct().join(left, "left").join(right, ["right", "context"]).select("left", "right").distinct()
+    """The pairs (left, right, ...) that share no context of a kind.
+
+    A pair meets the sets of its two concepts, not their contexts one by one; a concept of very many contexts has them dealt
+    into several sets by a hash, and like parts meet."""
+    one = concept_contexts.filter(F.col("kind") == kind).select("concept", "context").filter("context IS NOT NULL").distinct()
+    most = one.groupBy("concept").count().agg(F.max("count")).first()[0] or 0
+    parts = max(1, -(-most // CONTEXTS))
+    sets = one.groupBy("concept", F.pmod(F.xxhash64("context"), F.lit(parts)).alias("part")).agg(F.collect_list("context").alias("set"))
+    left, right = (sets.select(F.col("concept").alias(end), "part", F.col("set").alias(f"{end}_set")) for end in ("left", "right"))
+    shared = pairs.select("left", "right").distinct().join(left, "left").join(right, ["right", "part"]).filter(F.arrays_overlap("left_set", "right_set")).select("left", "right").distinct()
     return pairs.join(shared, ["left", "right"], "left_anti")
 
 

@@ -60,3 +60,20 @@ def test_fill_split_keeps_groups(spark):
     df = spark.range(3000).select((F.col("id") % 300).alias("g"), "id")
     got = ranking.fill_split(df, "g").groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("g").alias("g")).collect()
     assert {r["split"]: r["n"] for r in got} == {"train": 2400, "dev": 300, "test": 300} and sum(r["g"] for r in got) == 300
+
+
+def test_apart_by_sets(spark, monkeypatch):
+    import random
+
+    from lexweave.operators import concepts
+
+    r = random.Random(6)
+    rows = [(r.randint(0, 9), r.choice(["structure", "structure", "document"]), r.choice([None, *range(12)])) for _ in range(40)]
+    of = {c: {x for b, k, x in rows if b == c and k == "structure" and x is not None} for c in range(12)}
+    pairs = [(a, b) for a in range(12) for b in range(12)]
+    ctx, p = spark.createDataFrame(rows, "concept int, kind string, context int"), spark.createDataFrame(pairs, "left int, right int")
+    for most in (2, 4096):
+        monkeypatch.setattr(concepts, "CONTEXTS", most)
+        got = concepts.apart(p, ctx, "structure")
+        assert sorted(tuple(x) for x in got.collect()) == [(a, b) for a, b in pairs if not of[a] & of[b]]
+    assert "arrays_overlap" in got._jdf.queryExecution().optimizedPlan().toString()  # sets meet, not contexts one by one
