@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexweave.functions import headings, numerals, references, statute
 from lexweave.functions.references import PATH
 from lexweave.operators import graph
+from lexweave.plans.cut import spread
 
 LEVELS = ("document", "part", "chapter", "section", "article", "paragraph", "item", "sub_item")
 
@@ -78,17 +79,19 @@ def provision_paths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def lookup(paths: DataFrame, wanted: DataFrame) -> DataFrame:
     """wanted (document_id and a path) with node_id, the smallest node of that path; null where there is none."""
     first = paths.groupBy("document_id", *PATH).agg(F.min("node_id").alias("node_id"))
-    return wanted.join(first, ["document_id", *PATH], "left")
+    return wanted.join(first.hint("merge"), ["document_id", *PATH], "left")
 
 
 def detect(sentences: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """(id, document_id, kind, title, start, end, text, targets) of the references in sentences (id, document_id, title, sentence,
-    article, suffix); sentences that can hold none, or amend and define, never reach Python. aliases is (id, alias, title)."""
+    article, suffix); sentences that can hold none, or amend and define, never reach Python. aliases is (id, alias, title).
+    The rest are spread, since a sentence costs Python a hundred times what reading it does."""
     s = sentences.filter(references.may_refer(F.col("sentence")) & ~references.is_skipped(F.col("sentence")))
     if aliases is None:
         s = s.withColumn("__aliases", F.expr("cast(array() AS array<struct<alias:string,title:string>>)"))
     else:
         s = s.join(aliases.groupBy("id").agg(F.collect_list(F.struct("alias", "title")).alias("__aliases")), "id", "left")
+    s = spread(s, "id", "sentence")
     found = s.select("id", "document_id", F.explode(references.references(F.col("sentence"), F.col("__aliases"), F.col("title"), F.col("article"), F.col("suffix"))).alias("r"))
     return found.select("id", "document_id", "r.*").filter(~references.is_own_word(F.col("text")))
 
@@ -98,18 +101,21 @@ def resolve(found: DataFrame, titles: DataFrame, paths: DataFrame) -> DataFrame:
 
     A title (title, document_id) may have several documents; a reference to the own document keeps to it. A path meets its
     node on equal numbers; a range meets every node of its document whose number at the range's level lies in it and whose other
-    numbers are equal. node_id is null where a known document has no such node; references to unknown titles go."""
+    numbers are equal. node_id is null where a known document has no such node; references to unknown titles go.
+
+    Titles and paths are as many as documents and nodes, and Spark takes exploded ones for no larger than what they are made
+    of, so they are never broadcast: the merge hints keep them out of the driver. A range's ends are above 0, so it meets
+    only nodes that have a number at its level, by all their other numbers."""
     at = found.select("id", "document_id", "kind", "title", "start", "end", "text", F.explode("targets").alias("t"))
     own = at.filter("kind = 'local'").select("id", "document_id", "start", "end", "text", "t.*")
-    other = at.filter("kind <> 'local'").drop("document_id").join(titles.select("title", "document_id").distinct(), "title").select("id", "document_id", "start", "end", "text", "t.*")
+    other = at.filter("kind <> 'local'").drop("document_id").join(titles.select("title", "document_id").distinct().hint("merge"), "title").select("id", "document_id", "start", "end", "text", "t.*")
     every = own.unionByName(other)
     one = lookup(paths, every.filter("level IS NULL")).select("id", "start", "end", "text", "node_id")
-    ranged, p = every.filter("level IS NOT NULL").alias("r"), paths.alias("p")
-    fits = F.col("r.document_id") == F.col("p.document_id")
-    for name in PATH:
-        a, b = F.col(f"r.{name}"), F.col(f"p.{name}")
-        fits = fits & F.when(F.col("r.level") == name, b.between(a, F.col("r.upto"))).otherwise(a == b)
-    many = ranged.join(p, fits).select("r.id", "r.start", "r.end", "r.text", "p.node_id")
+    others = lambda level: F.array(*(F.when(level == name, F.lit(0).cast("long")).otherwise(F.col(name)) for name in PATH))
+    ranged = every.filter("level IS NOT NULL").select("id", "start", "end", "text", "document_id", "level", "upto", others(F.col("level")).alias("__others"), F.element_at(F.array(*PATH), F.array_position(F.array(*(F.lit(x) for x in PATH)), F.col("level")).cast("int")).alias("__from"))
+    numbered = paths.withColumn("__at", F.explode(F.array_compact(F.array(*(F.when(F.col(x) > 0, F.struct(F.lit(x).alias("level"), F.col(x).alias("no"))) for x in PATH)))))
+    numbered = numbered.select("document_id", "node_id", F.col("__at.level").alias("level"), others(F.col("__at.level")).alias("__others"), F.col("__at.no").alias("__no"))
+    many = ranged.join(numbered.hint("merge"), ["document_id", "level", "__others"]).filter(F.col("__no").between(F.col("__from"), F.col("upto"))).select("id", "start", "end", "text", "node_id")
     return one.unionByName(many).distinct()
 
 
