@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexweave.functions import headings, numerals, references, statute
 from lexweave.operators import counts, provisions
+from lexweave.plans.cut import spread
 from lexweave.plans.registry import _cases, _labels_sql, _numeral_sql, query
 from lexweave.sources import store
 
@@ -18,7 +19,7 @@ from lexweave.sources import store
 def _numbers(t):
     """Every part with its numbers a (article), b (paragraph) and c (item) and their numerals."""
     p = t("part").selectExpr("p_partkey AS id", "cast(p_partkey % 4999 + 1 AS bigint) AS a", "cast(p_size % 9 + 1 AS bigint) AS b", "cast(p_partkey % 7 + 1 AS bigint) AS c")
-    return p.withColumns({x: numerals.to_chinese(x[1:]) for x in ("_a", "_b", "_c")})
+    return spread(p, "id").withColumns({x: numerals.to_chinese(x[1:]) for x in ("_a", "_b", "_c")})
 
 
 NUMBERS = "p AS (SELECT p_partkey AS id, CAST(p_partkey % 4999 + 1 AS BIGINT) AS a, CAST(p_size % 9 + 1 AS BIGINT) AS b, CAST(p_partkey % 7 + 1 AS BIGINT) AS c FROM part)"

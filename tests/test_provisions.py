@@ -161,3 +161,10 @@ def test_pairs_of_hubs_are_shuffled_once(spark, monkeypatch):
         plan = plan_of(got)
         assert plan[:plan.index("REPARTITION_BY_NUM")].count("Exchange") == 1  # nothing above but the one shuffle of pairs, as arrays
         assert {(x["left"], x["right"]): round(x["score"], 9) for x in got.collect()} == want
+
+
+def test_sentences_are_spread_before_python(spark):
+    s = spark.range(8, numPartitions=1).selectExpr("id", "'x' AS document_id", "'' AS title", "concat('依照《甲》第', id + 1, '条') AS sentence", "0 AS article", "0 AS suffix")
+    plan = plan_of(provisions.detect(s))
+    assert "REPARTITION_BY_NUM" in plan[plan.index("ArrowEvalPython"):]
+    assert provisions.detect(s).count() == 8
