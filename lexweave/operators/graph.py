@@ -190,7 +190,7 @@ def common_ratio(sets: DataFrame, tile: int = 2048) -> DataFrame:
     links = stash(sets.select("node", F.col("member").alias("hub")).distinct(), "sets")
     n = links.groupBy("node").agg(F.count("*").alias("n"))
     rights = hub_rights(links.join(n, "node"), "hub", ["n"], tile)
-    # two arrays of plain numbers take a third of an array of structs
+    # two arrays of plain numbers travel, no array of structs
     flat = rights.select("left", "n", F.col("rights.node").alias("node"), F.col("rights.n").alias("of"))
     pairs = _by_left(links, flat).select("left", "n", F.explode(F.arrays_zip("node", "of")).alias("r")).select("left", F.col("r.node").alias("right"), "n", F.col("r.of").alias("of"))
     return pairs.groupBy("left", "right").agg((F.count("*") / F.greatest(F.max("n"), F.max("of"))).alias("score"))

@@ -85,7 +85,7 @@ def lookup(paths: DataFrame, wanted: DataFrame) -> DataFrame:
 def detect(sentences: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """(id, document_id, kind, title, start, end, text, targets) of the references in sentences (id, document_id, title, sentence,
     article, suffix); sentences that can hold none, or amend and define, never reach Python. aliases is (id, alias, title).
-    The rest are spread, since a sentence costs Python a hundred times what reading it does."""
+    The rest are spread, since Python spends far longer on a sentence than reading it takes."""
     s = sentences.filter(references.may_refer(F.col("sentence")) & ~references.is_skipped(F.col("sentence")))
     if aliases is None:
         s = s.withColumn("__aliases", F.expr("cast(array() AS array<struct<alias:string,title:string>>)"))
