@@ -28,11 +28,10 @@ def _pack(batches):
             yield pa.RecordBatch.from_arrays([pa.array([v.shape[1]], pa.int32()), pa.array([ids.min()]), pa.array([ids.max()]), pa.array([ids.tobytes()]), pa.array([v.tobytes()])], names=["dim", "low", "high", "ids", "matrix"])
 
 
-def _packed(df: DataFrame, side: str) -> DataFrame:
+def _packed(df: DataFrame) -> DataFrame:
     rows = df.select("id", "vector").filter("id IS NOT NULL AND size(vector) > 0")
     dealt = rows.repartitionByRange(max(1, -(-rows.count() // FILE_ROWS)), "id")
-    blocks = dealt.mapInArrow(_pack, "dim int, low long, high long, ids binary, matrix binary")
-    return blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns))
+    return dealt.mapInArrow(_pack, "dim int, low long, high long, ids binary, matrix binary")
 
 
 def _best(own: np.ndarray, found: list[tuple], k: int) -> tuple:
@@ -90,8 +89,11 @@ def similarity_join(left: DataFrame, right: DataFrame, least: float = 0.85, k: i
     The written blocks meet as splits of two tables, every left split with every right one: a task reads its two, so blocks
     are copied by no shuffle and a task holds one right split. With k a task keeps the best of a left block over its whole
     right split. Triangular pairs of blocks whose ids can't fit are left out. Ties, to 9 places, go to the smaller right_id.
+    A table that meets itself is packed and written once.
     """
-    ls, rs = stash(_packed(left, "l"), "left-blocks"), stash(_packed(right, "r"), "right-blocks")
+    packed = stash(_packed(left), "left-blocks")
+    side = lambda blocks, name: blocks.select(*(F.col(c).alias(f"{name}_{c}") for c in blocks.columns))
+    ls, rs = side(packed, "l"), side(packed if right is left else stash(_packed(right), "right-blocks"), "r")
     fits = F.col("l_dim") == F.col("r_dim")
     cells = ls.join(rs.hint("shuffle_replicate_nl"), fits & (F.col("l_low") < F.col("r_high")) if triangular else fits)
     found = cells.select("l_dim", "l_ids", "l_matrix", "r_ids", "r_matrix").mapInArrow(_match(k, least, triangular, with_self), FOUND)

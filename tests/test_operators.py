@@ -81,3 +81,12 @@ def test_similarity_in_many_blocks(spark, monkeypatch):
         assert {(x["left_id"], x["right_id"]) for x in similarity.similarity_join(v, v, 0.9037, triangular=True).collect()} == {(i, j) for i, n in near.items() for s, j in n if i < j and -s >= 0.9037}
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_table_that_meets_itself_is_packed_once(spark, monkeypatch):
+    v = spark.createDataFrame([(i, [1.0, float(i % 3)]) for i in range(9)], "id long, vector array<double>")
+    made = []
+    monkeypatch.setattr(similarity, "stash", lambda df, name, real=similarity.stash: (made.append(name), real(df, name))[1])
+    own = pairs(similarity.similarity_join(v, v, 0.99, triangular=True))
+    assert made == ["left-blocks"] and len(own) == 9
+    assert own == pairs(similarity.similarity_join(v, v.select("id", "vector"), 0.99, triangular=True)) and made[1:] == ["left-blocks", "right-blocks"]
