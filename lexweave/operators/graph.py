@@ -146,21 +146,33 @@ def remap(edges: DataFrame, mapping: DataFrame) -> DataFrame:
     return edges.filter("source <> target").select("source", "target", "type").distinct()
 
 
-#: Pairs, hubs counted apart, that one task gathers, about; so its memory doesn't grow with the table.
+#: Pairs, hubs counted apart, that one task gathers, and links that one task joins, about; so the memory of a task doesn't
+#: grow with the table, however few partitions a shuffle has by default.
 PAIRS = 2_000_000
+LINKS = 500_000
 
 
-def hub_rights(links: DataFrame, hub: str, keep: list[str], tile: int = 2048) -> DataFrame:
+def _tasks(links: DataFrame, tile: int) -> tuple[int, int, int]:
+    """How many tasks deal the links by hub, the copies of links by group of a hub, and the pairs."""
+    d = F.col("d")
+    n, copies, met = links.groupBy("hub").agg(F.count("*").cast("double").alias("d")).agg(F.sum(d), F.sum(d * F.ceil(d / tile)), F.sum(d * (d - 1) / 2)).first()
+    least = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tuple(max(least, int((rows or 0) // most) + 1) for rows, most in ((n, LINKS), (copies, LINKS), (met, PAIRS)))
+
+
+def hub_rights(links: DataFrame, hub: str, keep: list[str], tile: int = 2048, copies: int | None = None) -> DataFrame:
     """(left, rights, *keep): for every node the greater nodes it has a common hub with, once a hub, as arrays of structs of the
     node and the columns of keep, keep being the left node's own; links is (node, hub, *keep), distinct.
 
     A hub's nodes are dealt into groups of about `tile`, and two groups at a time meet in one key, so a hub of any degree
-    spreads over many tasks; a node is copied once for each group of its hub, and its partners travel as arrays."""
+    spreads over many tasks (`copies` of them, if given); a node is copied once for each group of its hub, and its partners
+    travel as arrays."""
     groups = links.groupBy(hub).agg(F.ceil(F.count("*") / F.lit(float(tile))).cast("int").alias("__n"))
     dealt = links.join(groups, hub).withColumn("__g", F.pmod(F.xxhash64("node"), F.col("__n")).cast("int"))
     each = lambda df, name: df.withColumn(name, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    met_by = lambda df: df.repartition(copies, hub, "__g", "__x") if copies else df
     lists = dealt.groupBy(hub, "__n", F.col("__g").alias("__x")).agg(F.collect_list(F.struct("node", *keep)).alias("__list"))
-    met = each(dealt, "__x").join(each(lists, "__g").drop("__n"), [hub, "__g", "__x"])
+    met = met_by(each(dealt, "__x")).join(met_by(each(lists, "__g").drop("__n")), [hub, "__g", "__x"])
     rights = met.select(F.col("node").alias("left"), F.filter("__list", lambda r: r["node"] > F.col("node")).alias("rights"), *keep)
     return rights.filter(F.size("rights") > 0)
 
@@ -170,29 +182,26 @@ def hub_pairs(links: DataFrame, hub: str, keep: list[str], tile: int = 2048) ->
     return hub_rights(links, hub, keep, tile).select("left", F.explode("rights.node").alias("right"), *keep)
 
 
-def _by_left(links: DataFrame, rights: DataFrame) -> DataFrame:
-    """rights dealt by left into tasks of about PAIRS pairs; grouping by left and right then needs no further shuffle."""
-    met = links.groupBy("hub").agg(F.count("*").cast("double").alias("d")).agg(F.sum(F.col("d") * (F.col("d") - 1) / 2)).first()[0] or 0
-    least = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rights.repartition(max(least, int(met // PAIRS) + 1), "left")
-
-
 def adamic_adar(links: DataFrame, tile: int = 2048) -> DataFrame:
     """(left, right, score): 1 - exp(-sum of 1 / ln(degree)) over common neighbours of degree above 1; links is (node, hub)."""
     links = stash(links.select("node", "hub").distinct(), "links")
-    weight = links.groupBy("hub").agg(F.count("*").alias("degree")).filter("degree > 1").select("hub", (1 / F.log(F.col("degree").cast("double"))).alias("w"))
-    rights = hub_rights(links.join(weight, "hub"), "hub", ["w"], tile).select("left", "w", F.col("rights.node").alias("rights"))
-    return _by_left(links, rights).select("left", "w", F.explode("rights").alias("right")).groupBy("left", "right").agg((1 - F.exp(-F.sum("w"))).alias("score"))
+    by_hub, by_group, by_left = _tasks(links, tile)
+    dealt = links.repartition(by_hub, "hub")
+    weight = dealt.groupBy("hub").agg(F.count("*").alias("degree")).filter("degree > 1").select("hub", (1 / F.log(F.col("degree").cast("double"))).alias("w"))
+    rights = hub_rights(dealt.join(weight, "hub"), "hub", ["w"], tile, by_group).select("left", "w", F.col("rights.node").alias("rights"))
+    # dealt by left; grouping by left and right then needs no further shuffle
+    return rights.repartition(by_left, "left").select("left", "w", F.explode("rights").alias("right")).groupBy("left", "right").agg((1 - F.exp(-F.sum("w"))).alias("score"))
 
 
 def common_ratio(sets: DataFrame, tile: int = 2048) -> DataFrame:
     """(left, right, score): common members over the larger set; sets is (node, member)."""
     links = stash(sets.select("node", F.col("member").alias("hub")).distinct(), "sets")
+    by_hub, by_group, by_left = _tasks(links, tile)
     n = links.groupBy("node").agg(F.count("*").alias("n"))
-    rights = hub_rights(links.join(n, "node"), "hub", ["n"], tile)
-    # two arrays of plain numbers travel, no array of structs
+    rights = hub_rights(links.join(n, "node").repartition(by_hub, "hub"), "hub", ["n"], tile, by_group)
+    # two arrays of plain numbers travel, no array of structs; dealt by left, grouping by left and right needs no further shuffle
     flat = rights.select("left", "n", F.col("rights.node").alias("node"), F.col("rights.n").alias("of"))
-    pairs = _by_left(links, flat).select("left", "n", F.explode(F.arrays_zip("node", "of")).alias("r")).select("left", F.col("r.node").alias("right"), "n", F.col("r.of").alias("of"))
+    pairs = flat.repartition(by_left, "left").select("left", "n", F.explode(F.arrays_zip("node", "of")).alias("r")).select("left", F.col("r.node").alias("right"), "n", F.col("r.of").alias("of"))
     return pairs.groupBy("left", "right").agg((F.count("*") / F.greatest(F.max("n"), F.max("of"))).alias("score"))
 
 

@@ -1,6 +1,8 @@
 """References, outlines and quotas on literals and beside brute force."""
 
+import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +170,19 @@ def test_sentences_are_spread_before_python(spark):
     plan = plan_of(provisions.detect(s))
     assert "REPARTITION_BY_NUM" in plan[plan.index("ArrowEvalPython"):]
     assert provisions.detect(s).count() == 8
+
+
+def test_links_of_hubs_are_dealt_into_more_tasks_as_they_grow(spark, monkeypatch):
+    r = random.Random(5)
+    rows = sorted({(r.randint(0, 30), r.choice([0, 0, 1, 2, 3])) for _ in range(120)})
+    links = spark.createDataFrame(rows, "node int, hub int")
+    degree = {h: sum(g == h for _, g in rows) for _, h in rows}
+    want = {}
+    for (a, h), (b, g) in ((x, y) for x in rows for y in rows if x[0] < y[0] and x[1] == y[1]):
+        want[a, b] = want.get((a, b), 0) + 1 / math.log(degree[h])
+    monkeypatch.setattr(graph, "LINKS", 5)
+    for tile in (3, 2048):
+        got = graph.adamic_adar(links, tile)
+        numbers = {int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan_of(got))}
+        assert len(rows) // 5 + 1 in numbers and max(numbers) > (len(rows) // 5 + 1 if tile == 3 else 4)
+        assert {(x["left"], x["right"]): round(x["score"], 9) for x in got.collect()} == {k: round(1 - math.exp(-w), 9) for k, w in want.items()}
