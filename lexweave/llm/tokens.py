@@ -31,8 +31,10 @@ def _class(points: list[int]) -> str:
     return "".join(out)
 
 
-#: White space other than space, tab, line feed and return: such texts go to the library whole.
-_RARE_SPACE = re.compile("[%s]" % "".join(map(chr, (0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
+#: White space other than space, tab, line feed and return, the ASCII ones first: such texts go to the library whole. A
+#: search for one character costs a small part of a pattern's, even for all of them.
+_RARE_ASCII = [*map(chr, (0x0B, 0x0C, *range(0x1C, 0x20)))]
+_RARE_SPACE = [*_RARE_ASCII, *map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
 #: Letters and digits below U+0250, where text is in normal form C as it stands.
 _BEYOND = re.compile("[^\\u0000-\\u024f]")
 _L, _N = (_class([p for p in range(0x250) if unicodedata.category(chr(p))[0] == kind]) for kind in "LN")
@@ -59,6 +61,15 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b if b in plain else 256 + others.index(b)) for b in range(256)}
 
 
+def _latin(text: str) -> bool:
+    """Whether no character is beyond U+024F."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _BEYOND.search(text)
+    return True
+
+
 class _Memo(dict):
     """Ids by piece; what is missing comes from the older generation or from the encoder."""
 
@@ -93,14 +104,17 @@ class ChunkEncoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if not piece.isascii() or not piece.isprintable() or " " in piece:
+        if piece.isascii() and piece.isprintable():
+            piece = piece.replace(" ", self.letters[32])
+        else:
             piece = piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.bpe(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if _RARE_SPACE.search(text) or self.special and self.special.search(text):
+        ascii_only = text.isascii()
+        if any(map(text.__contains__, _RARE_ASCII if ascii_only else _RARE_SPACE)) or self.special and self.special.search(text):
             return self._whole(text)
-        if not text.isascii() and _BEYOND.search(text):
+        if not ascii_only and not _latin(text):
             if len(self.known_chunks) > self.memo // 4:
                 self.known_chunks = _Memo(self._whole, {})
             return b"".join(map(self.known_chunks.__getitem__, self.chunks(text)))

@@ -530,3 +530,17 @@ def test_pipeline(spark):
         out = stage(spark, docs, d)
         assert out.columns == docs.columns and out.count() <= docs.count(), name
     assert corpus_pipeline.run(spark, d).count() > 0
+
+
+def test_texts_are_sorted_by_cheap_searches():
+    import public_tokenizers
+
+    from lexweave.llm.tokens import _RARE_ASCII, _RARE_SPACE, ChunkEncoder, _latin
+
+    assert [_latin(x) for x in ("", "abc", "é\xff", "Āɏ", "éɐ", "中")] == [True, True, True, True, False, False]
+    assert all(c.isascii() == (c in _RARE_ASCII) for c in _RARE_SPACE)
+    for name, kind in (("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")):
+        enc = ChunkEncoder(public_tokenizers.path(name), kind)
+        for c in (*_RARE_SPACE, " ", "\n", "\x7f", "é", "ɏ", "中"):
+            for text in (f"one{c}two", f" one {c} two.", f"{c}é", f"x{c}"):
+                assert list(np.frombuffer(enc.encode(text), "<u4")) == enc.tokenizer.encode(text, add_special_tokens=False).ids
