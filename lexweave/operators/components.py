@@ -1,7 +1,11 @@
 """Connected components of an edge table.
 
-Labels fall to the smallest label of the neighbours, then jump to their label's label, until nothing changes; every round
-is written in the shared folder, so plans stay short and a lost executor restarts one round.
+Every node goes over to its smallest neighbour, if that is smaller, and edges between such groups are the next, smaller
+graph; a node's component is that of where it went. As the smallest node of a component never moves, it names it. While a
+step at least halves the edges it is repeated, so all steps together cost little more than the first. What is left of other
+graphs (long paths above all) is settled by labels: they fall to the smallest label of the neighbours, then jump to their
+label's label, until nothing changes. Every step is written in the shared folder, so plans stay short and a lost executor
+restarts one step.
 """
 
 from __future__ import annotations
@@ -17,8 +21,33 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
 
     Null ends and self loops make no link; a node with only a self loop is its own component. Repeated edges count once.
     """
-    pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-    both = stash(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a", "b").agg(F.lit(1).alias("one")).drop("one"), "cc-edges")
+    links = stash(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL"), "cc-edges")
+    steps, held = [], links.count()
+    while True:
+        step = stash(_both(links).groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), "cc-step")
+        end = lambda name, label, of=step: of.select(F.col("node").alias(name), F.col("label").alias(label))
+        moved = links.join(end("a", "x"), "a").join(end("b", "y"), "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        links = stash(moved.distinct(), "cc-edges")
+        steps.append(step)
+        before, held = held, links.count()
+        if not held or 2 * held > before:
+            break
+    out = _settled(links) if held else None
+    for step in reversed(steps):
+        if out is None:
+            out = step.select("node", F.col("label").alias("component"))
+        else:
+            out = step.join(out.select(F.col("node").alias("label"), "component"), "label", "left").select("node", F.coalesce("component", "label").alias("component"))
+    return out
+
+
+def _both(links: DataFrame) -> DataFrame:
+    return links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _settled(links: DataFrame) -> DataFrame:
+    """(node, component) by falling labels; links is (a, b), distinct."""
+    both = stash(_both(links), "cc-both")
     labels = stash(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), "cc-labels")
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))

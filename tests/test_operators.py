@@ -90,3 +90,30 @@ def test_a_table_that_meets_itself_is_packed_once(spark, monkeypatch):
     own = pairs(similarity.similarity_join(v, v, 0.99, triangular=True))
     assert made == ["left-blocks"] and len(own) == 9
     assert own == pairs(similarity.similarity_join(v, v.select("id", "vector"), 0.99, triangular=True)) and made[1:] == ["left-blocks", "right-blocks"]
+
+
+def test_components_of_many_shapes(spark, monkeypatch):
+    import random
+
+    from lexweave.operators import components
+
+    r = random.Random(8)
+    name = {i: f"{r.randrange(10**6)}-{i}" for i in range(300)}
+    forest = [(i, i // 10) for i in range(10, 100)]
+    path = [(i, i + 1) for i in range(100, 140)]
+    loose = [(r.randrange(140, 300), r.randrange(140, 300)) for _ in range(130)]
+    settled = []
+    monkeypatch.setattr(components, "_settled", lambda links, real=components._settled: (settled.append(links.count()), real(links))[1])
+    for rows, names in ((forest, name), (path, {i: f"{i}" for i in range(300)}), (forest + path + loose + loose[:9], name), ([], name)):
+        root = {names[x]: names[x] for e in rows for x in e}
+        for _ in range(len(root)):
+            for a, b in rows:
+                root[names[a]] = root[names[b]] = min(root[names[a]], root[names[b]])
+        e = spark.createDataFrame([(names[a], names[b]) for a, b in rows], "src string, dst string")
+        assert dict(pairs(connected_components(e))) == root
+    assert len(settled) >= 1 and max(settled) < len(forest + path + loose)  # a path is left to the labels
+    stashed = []
+    monkeypatch.setattr(components, "stash", lambda df, name, real=components.stash: (stashed.append(name), real(df, name))[1])
+    e = spark.createDataFrame([(f"c{i // 10}", f"o{i}") for i in range(200)] + [("n0", f"c{i}") for i in range(20)], "src string, dst string")
+    assert {x for _, x in pairs(connected_components(e))} == {"c0"}
+    assert "cc-lower" not in stashed  # a forest takes no round of labels over all nodes
