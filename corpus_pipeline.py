@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexweave.llm import mixing, ngramjoin, packing, rules, toxicity
 from lexweave.llm.common import parquet
 from lexweave.llm.queries import tokenizer
-from lexweave.plans.cut import new_path, scratch
+from lexweave.plans.cut import new_path, scratch, write
 from lexweave.session import ship_package
 
 
@@ -56,6 +56,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = new_path(spark, f"stage-{name}")
         with scratch(spark):
             kept = stage(spark, docs, sf_dir)
-            kept.write.parquet(path)
+            write(kept, path)
         docs = spark.read.schema(kept.schema).parquet(path)
     return docs

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexweave.plans.cut import stash
+from lexweave.plans.cut import fitted, stash
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -24,10 +24,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     links = stash(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL"), "cc-edges")
     steps, held = [], links.count()
     while True:
-        step = stash(_both(links).groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), "cc-step")
+        step = stash(fitted(_both(links).groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), 2 * held), "cc-step")
         end = lambda name, label, of=step: of.select(F.col("node").alias(name), F.col("label").alias(label))
         moved = links.join(end("a", "x"), "a").join(end("b", "y"), "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        links = stash(moved.distinct(), "cc-edges")
+        links = stash(fitted(moved.distinct(), held), "cc-edges")
         steps.append(step)
         before, held = held, links.count()
         if not held or 2 * held > before:
@@ -46,15 +46,16 @@ def _both(links: DataFrame) -> DataFrame:
 
 
 def _settled(links: DataFrame) -> DataFrame:
-    """(node, component) by falling labels; links is (a, b), distinct."""
-    both = stash(_both(links), "cc-both")
-    labels = stash(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), "cc-labels")
+    """(node, component) by falling labels; links is (a, b), distinct and written."""
+    held = links.count()
+    both = stash(fitted(_both(links), 2 * held), "cc-both")
+    labels = stash(fitted(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).select(F.col("a").alias("node"), "label"), 2 * held), "cc-labels")
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(near, labels.node == near.a, "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
-        lower = stash(lower, "cc-lower")
+        lower = stash(fitted(lower, 2 * held), "cc-lower")
         up = lower.select(F.col("node").alias("up"), F.col("next").alias("jump"))
-        labels = stash(lower.join(up, lower.next == up.up, "left").select("node", F.least("next", F.coalesce("jump", "next")).alias("label"), F.col("label").alias("before")), "cc-labels")
+        labels = stash(fitted(lower.join(up, lower.next == up.up, "left").select("node", F.least("next", F.coalesce("jump", "next")).alias("label"), F.col("label").alias("before")), 2 * held), "cc-labels")
         if not labels.filter("label <> before").limit(1).count():
             break
         labels = labels.select("node", "label")
