@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,23 @@ from lexweave.plans.cut import delete, new_path, shared_folder, stash  # noqa: F
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
+def tidy(run: Callable, forget: Callable | None = None) -> Callable:
+    """run, a function of mapInArrow, which at its end forgets what it need not keep and returns free memory to the system:
+    an idle Python worker holds what it has until its executor's next task for it, beside that executor's JVM."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+                trim(0)
+
+    return tidied
+
+
 def rows_to_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

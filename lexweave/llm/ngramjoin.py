@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lexweave.operators.components import connected_components
 
-from .common import stash, texts_of
+from .common import stash, texts_of, tidy
 
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-9
 BANDS, ROWS = 32, 4
@@ -74,6 +74,10 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(s * _MIX)
 
 
+def _forget() -> None:
+    _words.clear()
+
+
 def signature(s: np.ndarray) -> np.ndarray:
     best = np.full(HASHES, 2**32 - 1, np.uint32)
     for lo in range(0, len(s), 2048):
@@ -288,10 +292,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     similarity is at least the threshold.
     """
     least = least_matches(threshold, tolerance)
-    signed = stash(docs.select("doc_id", "text").mapInArrow(_sign, "doc_id long, key binary, bands binary, sig binary"), "signed")
+    signed = stash(docs.select("doc_id", "text").mapInArrow(tidy(_sign, _forget), "doc_id long, key binary, bands binary, sig binary"), "signed")
     # nid is fixed when the table is written
     nodes = stash(signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig")).withColumn("nid", F.monotonically_increasing_id()), "nodes")
-    buckets = nodes.filter("bands IS NOT NULL").select("nid", "bands").mapInArrow(_buckets, "bucket long, nid long")
+    buckets = nodes.filter("bands IS NOT NULL").select("nid", "bands").mapInArrow(tidy(_buckets), "bucket long, nid long")
     crowded = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("nid").alias("least")).filter("size > 1")
     members = stash(buckets.join(crowded, "bucket"), "members")
 
@@ -312,10 +316,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     if not ids.filter("wanted_id IS NULL").isEmpty():
         # rows without an id are no join key: they are read by a filter
         texts = texts.unionByName(docs.select("doc_id", "text").filter("doc_id IS NULL"))
-    sets = stash(texts.mapInArrow(_sets, "key binary, set binary").groupBy("key").agg(F.first("set").alias("set")).join(wanted, "key").withColumn("bytes", F.length("set")), "sets")
+    sets = stash(texts.mapInArrow(tidy(_sets, _forget), "key binary, set binary").groupBy("key").agg(F.first("set").alias("set")).join(wanted, "key").withColumn("bytes", F.length("set")), "sets")
 
     side = lambda s: sets.select(F.col("nid").alias(s), F.col("set").alias(f"{s}_set"), F.col("copies").alias(f"{s}_copies"))
-    links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(threshold), "a long, b long, a_copies long, b_copies long"), "links")
+    links = stash(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(_verify(threshold)), "a long, b long, a_copies long, b_copies long"), "links")
 
     # cores are sized and met by narrow rows, salted: a core of the tiles has more than `small` nodes, so copies of its size are fewer
     sized = sets.select("nid", "bytes").join(cores, "nid")
@@ -375,7 +379,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     unclear = docs.filter("doc_id IS NOT NULL").join(met(again), "doc_id", "left_semi").select(*(f"`{c}`" for c in docs.columns))
     if not chosen.filter("__class_id IS NULL").isEmpty():
         unclear = unclear.unionByName(docs.filter("doc_id IS NULL"))
-    keyed = unclear.mapInArrow(_keyed(docs.columns), T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
+    keyed = unclear.mapInArrow(tidy(_keyed(docs.columns), _forget), T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())]))
     kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("__class_id")) & (F.col("__key") == F.col("__chosen")), "left_semi")
     # a key belongs to one class; exact copies with one id, or with none, are its rows
     return plain.unionByName(kept.dropDuplicates(["__key"]).select(*(f"`{c}`" for c in docs.columns)))

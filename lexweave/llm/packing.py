@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, texts_of
+from .common import stash, texts_of, tidy
 from .tokens import encoder
 
 CAPACITY, END_ID = 4096, 1
@@ -150,5 +150,5 @@ def _merge(leaves: DataFrame, capacity: int, slack: int, fan_in: int, task_items
 def pack_documents(docs: DataFrame, tokenizer: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Encode, cut and pack the documents; encoding and the first round share one Python worker a task."""
     cut, fit = _pieces(tokenizer, kind, capacity, end_id), _round(capacity, SLACK, False)
-    leaves = docs.select("doc_id", "text").mapInArrow(lambda batches: fit(cut(batches)), BINS)
+    leaves = docs.select("doc_id", "text").mapInArrow(tidy(lambda batches: fit(cut(batches)), lambda: encoder(tokenizer, kind, MEMO).forget_older()), BINS)
     return _merge(leaves, capacity, SLACK, FAN_IN, TASK_ITEMS)

@@ -123,6 +123,10 @@ class ChunkEncoder:
             self.known = _Memo(self._piece, self.known)
         return b"".join(map(self.known.__getitem__, self.pieces(text.lower() if self.lower else text)))
 
+    def forget_older(self) -> None:
+        """Give up the older generation; what is still in use is in the other."""
+        self.known.older = {}
+
 
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}
 

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, texts_of
+from .common import stash, texts_of, tidy
 from .ngramjoin import BROADCAST_IDS
 
 PER_CLASS, FOLDS = 4000, 3
@@ -238,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id A
     context = docs.sparkSession.sparkContext
     crossed = context.broadcast((steps, ratios))
     held = F.broadcast(bounded(ids, "toxic", per_class, "true"))  # at most 2 * per_class ids
-    scored = texts.join(held, "doc_id").select("text", "fold", "toxic").mapInArrow(_cross(crossed), "passage double, second double, whole double, toxic int").toPandas()
+    scored = texts.join(held, "doc_id").select("text", "fold", "toxic").mapInArrow(tidy(_cross(crossed)), "passage double, second double, whole double, toxic int").toPandas()
     crossed.unpersist()
     return context.broadcast(KneserNey(steps, ratios[0])), fit_curve(scored[["passage", "second", "whole"]].to_numpy(float), scored["toxic"].to_numpy(float))
 
@@ -246,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id A
 def toxicity_scores(docs: DataFrame, labels: DataFrame, usable: str = "crc32(cast(doc_id AS string)) % 4 <> 2", per_class: int = PER_CLASS) -> DataFrame:
     """doc_id and score of every document, with the features behind it."""
     model, curve = train(docs, labels, usable, per_class)
-    return docs.select("doc_id", "text").mapInArrow(_apply(model, curve), SCORES)
+    return docs.select("doc_id", "text").mapInArrow(tidy(_apply(model, curve)), SCORES)
 
 
 def _judge(model, curve, schema, threshold):
@@ -262,4 +262,4 @@ def _judge(model, curve, schema, threshold):
 def keep_ordinary(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, all columns as they were."""
     model, curve = train(docs, labels)
-    return docs.mapInArrow(_judge(model, curve, None, threshold), docs.schema)
+    return docs.mapInArrow(tidy(_judge(model, curve, None, threshold)), docs.schema)
