@@ -12,33 +12,54 @@ every stage empty; further columns pass through to the last stage, whatever thei
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lexweave.llm import mixing, ngramjoin, packing, rules, toxicity
-from lexweave.llm.common import parquet
+from lexweave.llm.common import parquet, shrink_heaps
 from lexweave.llm.queries import tokenizer
 from lexweave.plans.cut import new_path, scratch, write
 from lexweave.session import ship_package
 
 
+def lean(stage: Callable) -> Callable:
+    """stage, whose steps and whose result begin with executors that hold no garbage of what ran before."""
+
+    @wraps(stage)
+    def run_lean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        shrink_heaps(spark)
+        kept = stage(spark, docs, sf_dir)
+        shrink_heaps(spark)
+        return kept
+
+    return run_lean
+
+
+@lean
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return toxicity.keep_ordinary(docs, parquet(spark, sf_dir, "labels"))
 
 
+@lean
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.keep_good(docs)
 
 
+@lean
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return ngramjoin.keep_one(docs)
 
 
+@lean
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.sample(docs)
 
 
+@lean
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"))

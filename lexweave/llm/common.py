@@ -32,6 +32,17 @@ def tidy(run: Callable, forget: Callable | None = None) -> Callable:
     return tidied
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Have every executor's JVM collect its garbage whole, which gives the free part of its heap back to the system.
+
+    A G1 heap grows under a step that makes much garbage, and stays so until a concurrent cycle happens to end: of three
+    executors at the same work one held 1,749 MB where the others had 570 and 840 (measured). One task for each core, all
+    started at once, so an idle cluster gives each executor as many as it has cores.
+    """
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
+
+
 def rows_to_batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

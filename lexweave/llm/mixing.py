@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexweave.plans.cut import drop
+from lexweave.plans.cut import drop, fitted
 
 from .common import WORD_SPLIT, stash
 
@@ -74,7 +74,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, repeat:
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMS:
         now = now.join(targets[d].withColumnRenamed("target", f"{d}_target"), d)
-    now = stash(now, "cells")
+    now = stash(fitted(now, cells.count()), "cells")
     one_task = now.count() <= ONE_TASK_CELLS
     check = BLOCK if one_task else 1
     for sweep in range(1, sweeps + 1):
@@ -113,8 +113,9 @@ def gaps(weighed: DataFrame, targets: dict[str, DataFrame], budget: float) -> Da
 def raked(docs_celled: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, keep: float = KEEP, repeat: bool = False):
     """(cells, weighed cells, targets, budget) of documents with their cells."""
     cells = stash(docs_celled.groupBy(*DIMS).agg(F.sum("n_tokens").alias("tokens")), "token-cells")
-    budget = keep * (cells.agg(F.sum("tokens").alias("n")).first()["n"] or 0)
-    wanted = {d: stash(targets_of(cells, d, (targets or {}).get(d), temper), f"target-{d}") for d in DIMS}
+    all_cells = cells.agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).first()
+    budget = keep * (all_cells["tokens"] or 0)
+    wanted = {d: stash(fitted(targets_of(cells, d, (targets or {}).get(d), temper), all_cells["n"]), f"target-{d}") for d in DIMS}
     return cells, rake(cells, wanted, budget, repeat), wanted, budget
 
 
@@ -123,7 +124,8 @@ def rates(docs_celled: DataFrame, targets: dict[str, dict[str, float]] | None =
     cells, weighed, _, _ = raked(docs_celled, targets, temper, keep, repeat)
     rate = weighed.filter("tokens > 0").select(*DIMS, (F.col("weight") / F.col("tokens")).alias("rate"))
     # cells without tokens weigh nothing: their documents are taken like the mix as a whole
-    return cells.join(rate, list(DIMS), "left").select(*DIMS, F.coalesce("rate", F.when(F.col("tokens") == 0, F.lit(float(keep))).otherwise(0.0)).alias("rate"))
+    rated = cells.join(rate, list(DIMS), "left").select(*DIMS, F.coalesce("rate", F.when(F.col("tokens") == 0, F.lit(float(keep))).otherwise(0.0)).alias("rate"))
+    return fitted(rated, cells.count())
 
 
 def draw(seed: int = SEED) -> F.Column:
